@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialoom.llm import ngram_join
+from dialoom.llm import ans, fingerprint, ngram_join, packing
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,8 +14,28 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(spark, docs, ngram_join.Rule(size=3, num=90, den=100))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k fingerprints of documents and of their edited texts, compared with each other."""
+    return fingerprint.fingerprints(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents through rANS files and back."""
+    plan = ans.Plan(public_tokenizers.path("word_bpe_49k.json"))
+    return ans.round_trip(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), plan)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 1024 tokens."""
+    plan = packing.Plan(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.packing(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), plan)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_token_files": op3_token_files,
+    "op5_packing": op5_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
