@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialoom.llm import ans, fingerprint, ngram_join, packing
+from dialoom.llm import ans, decontam, fingerprint, hilbert, langid, ngram_join, packing, toxicity, urlfilter
+from dialoom.llm.shared import held_out
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,17 +26,52 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans.round_trip(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), plan)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of documents by PPM code lengths, learned from two thirds of them."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = langid.predict(docs, langid.train(docs))
+    return found.withColumn("held_out", held_out())
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 1024 tokens."""
     plan = packing.Plan(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.packing(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), plan)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of documents by nnPU learning from two thirds of the labels."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score(docs, toxicity.train(docs, labels)).withColumn("held_out", held_out())
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the URLs of pages by rules, else by boosted trees."""
+    return urlfilter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 40 shards of equal rows along a Hilbert curve of their metadata."""
+    return hilbert.shards(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), 40)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold which benchmark items, up to an edit for each twenty characters."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return decontam.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_fingerprints": op2_fingerprints,
     "op3_token_files": op3_token_files,
+    "op4_language": op4_language,
     "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
+    "op7_url_filter": op7_url_filter,
+    "op8_hilbert_shards": op8_hilbert_shards,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
