@@ -209,3 +209,19 @@ def predict(docs: DataFrame, model: Model, plan: Plan = Plan()) -> DataFrame:
     Null text and text without a letter are ``und`` with score 0, and so is everything if nothing was learned.
     """
     return docs.select("doc_id", "text").mapInArrow(_predict(model, plan), "doc_id long, text string, lang_pred string, score double, bits_per_byte double").drop("text")
+
+
+def keep(docs: DataFrame, model: Model, plan: Plan = Plan(), least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns kept, whose language is found with a score of at least ``least``."""
+    predict_batch = _predict(model, plan)
+
+    def run(batches):
+        for batch in batches:
+            for part in wordhash.parts(batch, "text", 4 << 20):
+                slim = part.select(["doc_id", "text"])
+                found = next(predict_batch([slim]), None) if slim.num_rows else None
+                if found is not None:
+                    good = np.array([x != UNKNOWN for x in found.column("lang_pred").to_pylist()], bool)
+                    yield part.filter(pa.array(good & (found.column("score").to_numpy() >= least)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dialoom.llm import ans, decontam, fingerprint, hilbert, langid, ngram_join, packing, toxicity, urlfilter
+from dialoom.llm import ans, decontam, fingerprint, hilbert, langid, ngram_join, packing, sql, toolcalls, toxicity, urlfilter
 from dialoom.llm.shared import held_out
 
 
@@ -62,6 +62,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of conversations as calls and their results, linked, ordered, validated and serialised."""
+    calls, results = toolcalls.from_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return toolcalls.link(spark, calls, results, toolcalls.REPLY)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_fingerprints": op2_fingerprints,
@@ -72,6 +78,9 @@ QUERIES = {
     "op7_url_filter": op7_url_filter,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op9_decontamination": op9_decontamination,
+    "op10_tool_calls": op10_tool_calls,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op10_tool_calls": sql.TOOL_CALLS,
+}

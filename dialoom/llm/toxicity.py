@@ -225,3 +225,15 @@ def score(docs: DataFrame, model: Model, plan: Plan = Plan()) -> DataFrame:
     Null and empty texts have the score of a text without any feature. Repeated ids are scored each.
     """
     return docs.select("doc_id", "text").mapInArrow(_run(model, plan), "doc_id long, score double, predicted int")
+
+
+def keep(docs: DataFrame, model: Model, plan: Plan = Plan()) -> DataFrame:
+    """The rows of ``docs``, all columns kept, that aren't scored toxic."""
+
+    def run(batches):
+        for batch in batches:
+            for part in wordhash.parts(batch, "text", 4 << 20):
+                score = 1 / (1 + np.exp(-np.clip(logits(model, part.column("text"), plan), -50, 50)))
+                yield part.filter(pa.array(score < plan.threshold))
+
+    return docs.mapInArrow(run, docs.schema)
