@@ -34,10 +34,10 @@ class Plan:
     end: int = 2
     #: Pieces of a block, on average.
     block: int = 3000
-    islands: int = 3
-    epochs: int = 3
-    generations: int = 6
-    population: int = 5
+    islands: int = 2
+    epochs: int = 2
+    generations: int = 4
+    population: int = 4
     #: Bins with more free places than this are packed again in a further round.
     loose: int = 8
     rounds: int = 3
@@ -156,7 +156,7 @@ def _pieces(plan: Plan):
         cap = plan.capacity
         for batch in batches:
             for part in wordhash.parts(batch, "text", 4 << 20):
-                ids, off = coder.encode(part.column("text").to_pylist(), plan.end)
+                ids, off = coder.encode(part.column("text"), plan.end)
                 n = np.diff(off)
                 first = np.where(n > cap, np.where(n % cap, n % cap, cap), n)
                 count = 1 + (n - first) // cap

@@ -1,23 +1,43 @@
 """Token ids of whole texts with a public tokenizer, given as the path of its file.
 
-Pre-tokenizers of both kinds used here never join characters across the start of a run of white space, so a
-text's ids are those of its pieces (white space and what follows it up to the next). Each distinct piece is
-encoded once and kept; the store starts anew when it holds ``MOST`` pieces.
+The pre-tokenizers used here never join characters over the start of a run of white space, nor an ASCII
+letter or digit with ASCII punctuation after it (the apostrophe aside). A text is cut at these places, and its
+ids are those of its pieces. Each distinct piece, known by a 64-bit hash of its bytes, is encoded once by the
+library and kept as an entry of a few dozen bytes; the store starts anew when it is full. A text with other
+white space than ASCII's is one piece, as a run could be cut within.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
-#: Pieces kept by a process, about 100 MB.
-MOST = 300_000
-#: White space as Unicode's property has it, which is what the tokenizers split at.
-_WS = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-_PIECES = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
+from dialoom.llm.wordhash import SPACE, buffer, span_hashes
+
+#: Pieces and ids kept by a process: about 20 bytes for a piece and 4 for an id.
+MOST_PIECES, MOST_IDS = 1_500_000, 12_000_000
+
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = True
+
+
+def _wide_space(data: np.ndarray) -> np.ndarray:
+    """Places of white space beyond ASCII: U+0085, 00A0, 1680, 2000-200A, 2028, 2029, 202F, 205F, 3000."""
+    at = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    if not len(at):
+        return at
+    padded = np.concatenate([data, np.zeros(2, np.uint8)])
+    a, b, c = (padded[at + k].astype(np.int64) for k in range(3))
+    three = (a << 16) | (b << 8) | c
+    hit = (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+    hit |= (three >= 0xE28080) & (three <= 0xE2808A)
+    hit |= np.isin(three, [0xE19A80, 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
+    return at[hit]
 
 
 class Encoder:
@@ -39,46 +59,67 @@ class Encoder:
         return cls._open[path]
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.known = np.zeros(0, np.uint64)  # hashes, ascending
+        self.slot = np.zeros(0, np.int32)  # and the piece's place in begin and size
+        self.begin = np.zeros(1 << 14, np.int32)
+        self.size = np.zeros(1 << 14, np.int32)
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _add(self, pieces: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        total, n = int(sizes.sum()), len(self.index)
-        if self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), total), np.uint32)])
-        if n + len(ids) > len(self.begin):
-            more = max(len(self.begin), len(ids))
-            self.begin, self.size = (np.concatenate([x, np.zeros(more, np.int64)]) for x in (self.begin, self.size))
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
-        self.begin[n : n + len(ids)] = self.used + np.cumsum(sizes) - sizes
-        self.size[n : n + len(ids)] = sizes
-        self.used += total
-        for k, p in enumerate(pieces, n):
-            self.index[p] = k
-
-    def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, each followed by ``end``, and the offsets of the texts in them. Null is empty."""
-        if len(self.index) > MOST:
+    def _add(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Encode new pieces, whose hashes ascend."""
+        for i in range(0, len(pieces), 20_000):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[i : i + 20_000], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            total, n = int(sizes.sum()), len(self.known) + i
+            if self.used + total > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat) // 2, total), np.uint32)])
+            if n + len(ids) > len(self.begin):
+                more = max(len(self.begin) // 2, len(ids))
+                self.begin, self.size = (np.concatenate([x, np.zeros(more, np.int32)]) for x in (self.begin, self.size))
+            self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
+            self.begin[n : n + len(ids)] = self.used + np.cumsum(sizes) - sizes
+            self.size[n : n + len(ids)] = sizes
+            self.used += total
+        at = np.searchsorted(self.known, hashes)
+        n = len(self.known)
+        self.known = np.insert(self.known, at, hashes)
+        self.slot = np.insert(self.slot, at, np.arange(n, n + len(hashes), dtype=np.int32))
+
+    def encode(self, texts: pa.Array | list, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each followed by ``end``, and the texts' offsets in them. Null is empty."""
+        if len(self.known) > MOST_PIECES or self.used > MOST_IDS:
             self.clear()
-        split = [_PIECES.findall(t) if t else [] for t in texts]
-        new = set().union(*split) - self.index.keys() if split else set()
-        if new:
-            self._add(list(new))
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        size = self.size[at]
+        data, off = buffer(texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string()))
+        n = len(data)
+        space = SPACE[data]
+        cut = space.copy()
+        cut[1:] &= ~space[:-1]
+        cut[1:] |= _MARK[data[1:]] & _ALNUM[data[:-1]]
+        wide = _wide_space(data)
+        for d in np.unique(np.searchsorted(off, wide, "right") - 1):
+            cut[off[d] : off[d + 1]] = False
+        cut[off[off < n]] = True
+        start = np.flatnonzero(cut)
+        stop = np.append(start[1:], n) if len(start) else start
+        hashes = span_hashes(data, start, stop)
+        kinds, one, of = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.known, kinds), max(0, len(self.known) - 1))
+        new = self.known[at] != kinds if len(self.known) else np.ones(len(kinds), bool)
+        if new.any():
+            raw = data.tobytes()
+            which = one[new]
+            self._add(kinds[new], [raw[a:b].decode() for a, b in zip(start[which].tolist(), stop[which].tolist(), strict=True)])
+            at = np.searchsorted(self.known, kinds)
+        slot = self.slot[at][of] if len(kinds) else np.zeros(0, np.int32)
+        size = self.size[slot].astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(size)])
-        bound = np.concatenate([[0], np.cumsum(counts)])
+        bound = np.searchsorted(start, off)
         length = ends[bound[1:]] - ends[bound[:-1]] + 1
-        off = np.concatenate([[0], np.cumsum(length)])
-        out = np.empty(off[-1], np.uint32)
-        out[off[1:] - 1] = end
-        body = np.ones(off[-1], bool)
-        body[off[1:] - 1] = False
-        out[body] = self.flat[np.repeat(self.begin[at] - ends[:-1], size) + np.arange(ends[-1])]
-        return out, off
+        result = np.concatenate([[0], np.cumsum(length)])
+        out = np.empty(result[-1], np.uint32)
+        body = np.ones(result[-1], bool)
+        body[result[1:] - 1] = False
+        out[result[1:] - 1] = end
+        out[body] = self.flat[np.repeat(self.begin[slot] - ends[:-1], size) + np.arange(ends[-1])]
+        return out, result
