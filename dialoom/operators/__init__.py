@@ -1 +1 @@
-
+"""Relational operators over conversations, calls, foods and logs."""

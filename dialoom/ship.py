@@ -8,12 +8,16 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Rows go to Python in batches of about as many bytes, so that workers' memory doesn't follow row sizes.
+BATCH_BYTES = 4 << 20
+
 _sent: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Add the package to the session's Python files, once per application; returns the session."""
+    """Add the package to the session's Python files, once per application, and bound its Arrow batches; returns the session."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if sc.applicationId not in _sent:
         root = Path(__file__).resolve().parent
         target = Path(tempfile.mkdtemp(prefix="dialoom-")) / "dialoom.zip"
