@@ -65,7 +65,7 @@ def prepare(calls: DataFrame, foods: DataFrame) -> DataFrame:
     priced = priced.withColumn("items", F.transform("items", lambda x: F.struct(*(x[c].alias(c) for c in ("food_id", "food_name", "quantity", "unit", "carbs")))))
     full = parsed.join(found, ["conv_id", "seq"], "left").join(priced, ["conv_id", "seq"], "left")
     call = F.struct(
-        F.col("seq").cast("long").alias("seq"), "name", F.coalesce("found", F.array().cast("array<int>")).alias("found"), "items", F.col("a.entry_ids").alias("entry_ids"), "a.meal_time", "a.meal_hour", "a.blood_glucose"
+        F.col("seq").cast("long").alias("seq"), "name", F.when(F.col("a.queries").isNotNull(), F.coalesce("found", F.array().cast("array<int>"))).alias("found"), F.when(F.col("a.items").isNotNull(), F.coalesce("items", F.array().cast(f"array<{ITEM}>"))).alias("items"), F.col("a.entry_ids").alias("entry_ids"), "a.meal_time", "a.meal_hour", "a.blood_glucose"
     ).cast(CALL)
     return full.groupBy("conv_id", "lang", "idx").agg(F.array_sort(F.collect_list(call)).alias("calls"))
 
@@ -122,7 +122,7 @@ def _step() -> str:
     final = f"CASE WHEN size(s.tally) = 0 THEN {state(out(error=repr('Add at least one food first.')))} ELSE {final} END"
     summary = state(out(entries="s.tally", tally_total=_total("s.tally"), food_insulin="0D", meal_time="s.meal_time", meal_hour="s.meal_hour", blood_glucose="s.blood_glucose"))
     clear = state(out(), known="CAST(array() AS array<int>)", tally=f"CAST(array() AS array<{TALLY_ENTRY}>)", next="1", meal_time="CAST(NULL AS STRING)", meal_hour="CAST(NULL AS INT)", blood_glucose="CAST(NULL AS DOUBLE)")
-    search = state(out(), known="array_union(s.known, c.found)")
+    search = f"CASE WHEN c.found IS NULL THEN {state(out(error=repr(FAILED)))} ELSE {state(out(), known='array_union(s.known, c.found)')} END"
     cases = ((fixed.SEARCH, search), (fixed.ADD, add), (fixed.REMOVE, remove), (fixed.FINAL, final), (fixed.SUMMARY, summary), (fixed.CLEAR, clear))
     kind = f"struct<known array<int>, tally array<{TALLY_ENTRY}>, next int, meal_time string, meal_hour int, blood_glucose double, outputs array<{OUTPUT}>>"
     whens = " ".join(f"WHEN {is_(tool)} THEN CAST({body} AS {kind})" for tool, body in cases)

@@ -21,7 +21,7 @@ def foods(spark: SparkSession, folder: str, languages: list[str] | None = None)
     an error. The tables are small dimensions, read as whole files to keep line numbers.
     """
     paths = [f"{folder}/{x}.csv" for x in languages] if languages else f"{folder}/*.csv"
-    text = spark.read.option("wholetext", True).text(paths)
+    text = spark.read.text(paths, wholetext=True)
     lang = F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1)
     lines = text.select(lang.alias("lang"), F.posexplode(F.split(strip(F.col("value")), "\n")).alias("id", "line"))
     cells = lines.where("id > 0").select("lang", "id", F.split("line", ";").alias("c")).where(F.size("c") >= 4)
@@ -143,7 +143,7 @@ def log(spark: SparkSession, path: str) -> DataFrame:
 
 def template(spark: SparkSession, path: str) -> str:
     """A prompt template's text, read by Spark so that any store serves."""
-    return spark.read.option("wholetext", True).text(path).first()["value"]
+    return spark.read.text(path, wholetext=True).first()["value"]
 
 
 def tool_schema(spark: SparkSession, path: str) -> str:
