@@ -32,6 +32,8 @@ LANES = 512
 SPAN = 1024
 #: A block ends with the document that brings it to as many ids.
 BLOCK_IDS = 1 << 18
+#: Bytes of a Parquet row group, which a writer holds in memory.
+GROUP_BYTES = 16 << 20
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sIQQIII")
 
@@ -144,11 +146,12 @@ def _ids(plan: Plan):
         coder = Encoder.of(plan.tokenizer)
         kind = "<u2" if plan.vocabulary <= 1 << 16 else "<u4"
         for batch in batches:
-            for part in wordhash.parts(batch, "text", 4 << 20):
-                ids, off = coder.encode(part.column("text").to_pylist(), plan.end)
+            for part in wordhash.parts(batch, "text", 2 << 20):
+                ids, off = coder.encode(part.column("text"), plan.end)
                 raw, w = ids.astype(kind).tobytes(), int(kind[-1])
                 rows = pa.array([raw[w * a : w * b] for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), rows], names=["doc_id", "ids"])
+        wordhash.trim()
 
     return run
 
@@ -197,6 +200,7 @@ def _write(plan: Plan, table: Table):
                     docs, held, start, n, number = [], [], start + n, 0, number + 1
         if held:
             yield out()
+        wordhash.trim()
 
     return run
 
@@ -228,7 +232,7 @@ def write(spark: SparkSession, docs: DataFrame, plan: Plan, path: str) -> Table:
     ordered = ids.repartitionByRange(partitions(spark), "doc_id", F.xxhash64("ids")).sortWithinPartitions("doc_id", F.xxhash64("ids"), "ids")
     blocks = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "ids")
     schema = "part int, number int, start long, n_ids long, doc_ids array<long>, sizes array<long>, block binary"
-    blocks.mapInArrow(_write(plan, table), schema).write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks")
+    blocks.mapInArrow(_write(plan, table), schema).write.mode("overwrite").option("compression", "none").option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/blocks")
     spark.createDataFrame([(int(i), int(table.freq[i])) for i in np.flatnonzero(table.freq)], "id int, freq long").write.mode("overwrite").parquet(f"{path}/table")
     scratch.drop("ids")
     return table

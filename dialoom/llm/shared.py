@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FALLBACK_DIR = "/tmp/dialoom-shared"
+#: Bytes of a Parquet row group, which a writer holds in memory.
+GROUP_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,7 +36,7 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").option("parquet.block.size", GROUP_BYTES).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

@@ -7,6 +7,8 @@ WINDOW bytes that end between words, so memory doesn't depend on the size of a b
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,6 +16,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WINDOW = 1 << 20
+
+pa.set_memory_pool(pa.system_memory_pool())  # gives freed memory back, which the default pool keeps
+with contextlib.suppress(Exception):  # so does the C library with large blocks, once their least size is fixed
+    ctypes.CDLL(None).mallopt(-3, 1 << 20)
 _P = 0x9E3779B97F4A7C15 | 1
 _Q = pow(_P, -1, 1 << 64)
 
@@ -46,6 +52,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ascending byte spans that don't overlap."""
+    hashes = np.empty(len(start), dtype=np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + WINDOW, "right")))
+        a, b = int(start[i]), int(end[j - 1])
+        up, down = powers(b - a)
+        sums = np.zeros(b - a + 1, dtype=np.uint64)
+        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=sums[1:])
+        s, e = start[i:j] - a, end[i:j] - a
+        hashes[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        i = j
+    return hashes
+
+
+def trim() -> None:
+    """Give freed memory back to the system, where the C library can; for workers that wait for other stages."""
+    with contextlib.suppress(Exception):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @dataclass
 class Words:
     """Words of a batch: byte spans in ``data`` (lower-cased), hashes, and each row's range of words."""
@@ -83,17 +111,7 @@ def words(texts: pa.Array) -> Words:
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | first[1:n]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    hashes = np.empty(len(start), dtype=np.uint64)
-    i = 0
-    while i < len(start):
-        j = max(i + 1, int(np.searchsorted(end, start[i] + WINDOW, "right")))
-        a, b = int(start[i]), int(end[j - 1])
-        up, down = powers(b - a)
-        sums = np.zeros(b - a + 1, dtype=np.uint64)
-        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=sums[1:])
-        s, e = start[i:j] - a, end[i:j] - a
-        hashes[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
-        i = j
+    hashes = span_hashes(data, start, end)
     return Words(data, start, end, hashes, np.searchsorted(start, off).astype(np.int64), off)
 
 
