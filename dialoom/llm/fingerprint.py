@@ -149,7 +149,8 @@ def fingerprints(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> D
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("k"))
     n = partitions(spark)
-    cuts = sorted({int(x) for x in docs.stat.approxQuantile("k", [i / n for i in range(1, n)], 0.2 / n)}, reverse=True)  # n - 1 values at most
+    marks = [i / n for i in range(1, n)]
+    cuts = sorted({int(x) for x in docs.stat.approxQuantile("k", marks, 0.2 / n)}, reverse=True) if marks else []  # n - 1 values at most
     # bucket 0 has the largest ids; a row's bucket is the number of cuts above its id
     bucket = F.lit(len(cuts)) - F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("k"))) if cuts else F.lit(0)
     keyed = docs.withColumn("bucket", bucket.cast("int"))

@@ -101,7 +101,10 @@ class Model:
         code = np.zeros(n, np.uint64)
         for k in range(o, -1, -1):
             part = np.zeros(n, np.uint64)
-            part[max(0, k - 1) :] = buf[1 - k : n + 1 - k] if k <= 1 else buf[: n + 1 - k]
+            if k == 0:
+                part[:] = buf[1:]
+            elif k <= n:
+                part[k - 1 :] = buf[: n + 1 - k]
             code = (code << np.uint64(8)) | part
         return code
 
