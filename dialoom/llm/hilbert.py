@@ -91,15 +91,16 @@ def shards(spark: SparkSession, docs: DataFrame, number: int = 40) -> DataFrame:
     )
     rows = rows.withColumn("x2", F.least(F.lit(OWN), F.floor(F.log2("size") * 1.5).cast("int")))
     rows = scratch.save(rows.withColumn("curve", _curve("x0", "x1", "x2", "x3")).drop("x0", "x1", "x2", "x3"), "rows")
-    groups = rows.groupBy("text_hash").agg(F.min("curve").alias("at"), F.count("*").alias("copies"))
-    # only groups of several rows can move
-    placed = rows.join(groups.where("copies > 1").select("text_hash", "at"), "text_hash", "left").withColumn("at", F.coalesce("at", "curve"))
+    # only groups of several rows can move; written, so that the join may split a large group's partition
+    groups = rows.groupBy("text_hash").agg(F.min("curve").alias("at"), F.count("*").alias("copies")).where("copies > 1").select("text_hash", "at")
+    groups = scratch.save(groups, "groups")
+    placed = rows.join(groups, "text_hash", "left").withColumn("at", F.coalesce("at", "curve"))
     placed = placed.repartitionByRange(partitions(spark), "at", "text_hash", "doc_id").sortWithinPartitions("at", "text_hash", "doc_id")
     placed = scratch.save(placed.withColumn("m", F.monotonically_increasing_id()), "placed")
     part = F.shiftright("m", 33).cast("int")
     counts = sorted((r["part"], r["n"]) for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())  # a row for each partition
     total = sum(n for _, n in counts)
-    scratch.drop("rows")
+    scratch.drop("rows", "groups")
     before, base = [], 0
     for p, n in counts:
         before += [F.lit(p), F.lit(base)]
