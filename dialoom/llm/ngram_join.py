@@ -5,12 +5,13 @@ Documents become sets of word shingles; two link when ``den * |x & y| >= num * |
 * Equal sets collapse into one before anything is compared.
 * Every set is ordered with the most frequent shingles last and indexed under its prefix, the only place
   where the first common shingle of a linked pair can stand.
-* Answers from similar sets: in each index list the member with the least id (the leader) is compared with
+* Answers from similar sets: in each run of an index list the smallest member (the leader) is compared with
   all others, which is linear in the list. Components of these answers stand in for their members: two
   members of one component need no further comparison, and for members x, y of a list whose exact distances
   to the leader are d(x), d(y), the triangle inequality gives |x ^ y| >= |d(x) - d(y)|, which rules out most
   of the rest without looking at the sets.
-* Block skipping: what is left of a list is cut into blocks ordered by set size; pairs of blocks whose
+* Block skipping: lists are ordered by set size and cut where no pair can link over a gap; members left alone
+  go. What is mixed after the answers above is cut into blocks; pairs of blocks whose
   sizes or prefix positions cannot reach the needed overlap are skipped as a whole. The pairs of blocks of a
   long list are dealt over all tasks.
 * Pairs that survive parity bitmaps (a lower bound of the symmetric difference) are verified on the sets.
@@ -33,10 +34,13 @@ from dialoom.llm.shared import Scratch, components, partitions
 
 #: Most ids that are broadcast to pick documents for verification (about 64 MB); beyond it, a shuffled join.
 BROADCAST_IDS = 1_000_000
-#: Members of a block of an index list.
+#: Members of a block of an index list, and pairs that a task combines before it passes them on.
 BLOCK = 256
+COMBINED = 300_000
+#: Sets of up to as many shingles have parity bitmaps of 64 bytes, larger ones of 512.
+NARROW = 900
 #: Shingles are counted in runs of this many; those seen at least LOCAL times in a run count on.
-RUN, LOCAL = 4_000_000, 8
+RUN, LOCAL = 2_000_000, 6
 
 
 @dataclass(frozen=True)
@@ -92,7 +96,7 @@ def _heavy(docs: DataFrame, rule: Rule) -> np.ndarray:
 
 
 def _bits(u: np.ndarray) -> bytes:
-    b = 512 if len(u) <= 2048 else 4096
+    b = 512 if len(u) <= NARROW else 4096
     return np.packbits((np.bincount((u & np.uint64(b - 1)).astype(np.int64), minlength=b) & 1).astype(np.uint8)).tobytes()
 
 
@@ -133,31 +137,51 @@ def _describe(rule: Rule, heavy: np.ndarray):
     return run
 
 
-def _lists(batches):
-    """Index lists from rows sorted by (token, id): lists of one member go, the others' rows get their leader."""
-    token = leader = leader_n = None
-    alone = None  # the only row so far of the last list
-    for batch in batches:
-        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("token", "id", "n", "pos")]
-        if alone is not None:
-            cols = [np.concatenate([a, c]) for a, c in zip(alone, cols, strict=True)]
-        tok, ids, n, pos = cols
-        if not len(tok):
-            continue
-        begin = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
-        length = np.diff(np.append(begin, len(tok)))
-        lead, lead_n = ids[begin].copy(), n[begin].copy()
-        keep = length > 1
-        if alone is None and token is not None and tok[0] == token:
-            lead[0], lead_n[0], keep[0] = leader, leader_n, True
-        token, leader, leader_n = tok[-1], lead[-1], lead_n[-1]
-        alone = None if keep[-1] else [c[-1:] for c in cols]
-        rows = np.repeat(keep, length)
-        if rows.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[rows]) for x in (tok, ids, n, pos, np.repeat(lead, length), np.repeat(lead_n, length))],
-                names=["token", "id", "n", "pos", "leader", "leader_n"],
-            )
+def _lists(rule: Rule):
+    """Index lists from rows sorted by (token, n, id). A list is cut where a size is too large for the one before, as
+    no pair can link over such a gap; members left alone go (but not a task's first and last row, whose neighbours
+    another task may have). Each row gets its leader: the first member since the cut, or a later one where sizes have
+    grown out of its reach."""
+
+    def run(batches):
+        held = None  # the last row, as its follower isn't known yet
+        joined, state = False, (0, 0)  # whether it goes on a run; that run's leader and its size
+        first = True
+        names = ["token", "id", "n", "pos", "leader"]
+        for batch in batches:
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("token", "id", "n", "pos")]
+            if held is not None:
+                cols = [np.concatenate([a, c]) for a, c in zip(held, cols, strict=True)]
+            tok, ids, n, pos = cols
+            if not len(tok):
+                continue
+            link = np.empty(len(tok), bool)
+            link[0] = joined
+            link[1:] = (tok[1:] == tok[:-1]) & (rule.den * n[:-1].astype(np.int64) >= rule.num * n[1:].astype(np.int64))
+            begin = np.flatnonzero(~link)
+            if link[0]:
+                begin = np.concatenate([[0], begin])
+            length = np.diff(np.append(begin, len(tok)))
+            lead, lead_n = ids[begin].copy(), n[begin].copy()
+            if link[0]:
+                lead[0], lead_n[0] = state
+            leader, leader_n = np.repeat(lead, length), np.repeat(lead_n, length)
+            for b in np.flatnonzero(rule.den * lead_n.astype(np.int64) < rule.num * n[begin + length - 1].astype(np.int64)).tolist():
+                i, j = int(begin[b]), int(begin[b] + length[b])
+                while (i := i + int(np.searchsorted(n[i:j], rule.den * int(leader_n[i]) // rule.num, "right"))) < j:
+                    leader[i:j], leader_n[i:j] = ids[i], n[i]
+            keep = link.copy()
+            keep[:-1] |= link[1:]
+            keep[0] |= first
+            held, joined, state = [c[-1:] for c in cols], bool(link[-1]), (leader[-1], leader_n[-1])
+            if len(tok) > 1:
+                first = False
+                rows = np.flatnonzero(keep[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(x[rows]) for x in (tok, ids, n, pos, leader)], names=names)
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*held, np.array([state[0]], np.int64))], names=names)
+
+    return run
 
 
 def _bit_matrix(col, width: int = 64) -> np.ndarray:
@@ -245,41 +269,52 @@ def _may(rule: Rule, a: dict, b: dict) -> np.ndarray:
     pa_, pb = a["pos"].astype(np.int64), b["pos"].astype(np.int64)
     ok &= np.minimum(pa_, pb) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1) >= need
     most = na + nb - 2 * need
-    ok &= (a["d"] < 0) | (b["d"] < 0) | (np.abs(a["d"].astype(np.int64) - b["d"]) <= most)
-    at = np.flatnonzero(ok)
-    ok[at] = np.bitwise_count(a["bits"][at] ^ b["bits"][at]).sum(axis=1, dtype=np.int64) <= most[at]
+    ok &= (a["leader"] != b["leader"]) | (a["d"] < 0) | (b["d"] < 0) | (np.abs(a["d"].astype(np.int64) - b["d"]) <= most)
+    for bits, some in (("bits", ok), ("wide", ok & (na > NARROW) & (nb > NARROW))):
+        at = np.flatnonzero(some & ok)
+        ok[at] = np.bitwise_count(a[bits][at] ^ b[bits][at]).sum(axis=1, dtype=np.int64) <= most[at]
     return ok
 
 
-_FIELDS = (("id", np.int64), ("comp", np.int64), ("n", np.int32), ("pos", np.int32), ("d", np.int32))
+_FIELDS = (("id", np.int64), ("comp", np.int64), ("leader", np.int64), ("n", np.int32), ("pos", np.int32), ("d", np.int32))
 
 
 def _pack(m: dict, i: int, j: int) -> bytes:
-    return b"".join(m[k][i:j].astype(t).tobytes() for k, t in _FIELDS) + m["bits"][i:j].tobytes()
+    return b"".join(m[k][i:j].astype(t).tobytes() for k, t in _FIELDS) + m["bits"][i:j].tobytes() + (m["wide"][i:j].tobytes() if m["n"][i:j].max() > NARROW else b"")
 
 
-def _unpack(raw: bytes) -> dict:
-    each = sum(np.dtype(t).itemsize for _, t in _FIELDS) + 64
-    n, at, m = len(raw) // each, 0, {}
+def _unpack(raw: bytes, n: int) -> dict:
+    at, m = 0, {}
     for k, t in _FIELDS:
         m[k] = np.frombuffer(raw, t, n, at)
         at += n * np.dtype(t).itemsize
     m["bits"] = np.frombuffer(raw, np.uint64, n * 8, at).reshape(n, 8)
+    at += n * 64
+    m["wide"] = np.frombuffer(raw, np.uint64, n * 64, at).reshape(n, 64) if len(raw) > at else np.zeros((n, 64), np.uint64)
     return m
 
 
-_BLOCKS = "x long, y long, token long, b int, nmin int, nmax int, pmin int, pmax int, block binary"
+_BLOCKS = "x long, y long, token long, b long, members int, nmin int, nmax int, pmin int, pmax int, block binary"
 
 
 def _block_rows(rule: Rule):
-    """From rows sorted by (token, n, id): candidate pairs within blocks (x, y), and the blocks of lists longer than one."""
+    """From rows sorted by (token, n, id): candidate pairs within blocks (x, y), and the blocks of lists that have (or, at
+    a task's ends, may have) several. A block is named by its first member."""
 
     def run(batches):
-        token, number, rest = None, 0, None
-        schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("token", pa.int64()), *((k, pa.int32()) for k in ("b", "nmin", "nmax", "pmin", "pmax")), ("block", pa.binary())])
+        token, number, rest, first = None, 0, None, None
+        schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("token", pa.int64()), ("b", pa.int64()), *((k, pa.int32()) for k in ("members", "nmin", "nmax", "pmin", "pmax")), ("block", pa.binary())])
+
+        pairs: list[np.ndarray] = []
+
+        def combined():
+            """Pairs so far, each once: a pair shares many lists, of which a task has several."""
+            one = np.unique(np.concatenate(pairs), axis=0)
+            pairs.clear()
+            return pa.RecordBatch.from_arrays([pa.array(one[:, 0]), pa.array(one[:, 1]), *(pa.nulls(len(one), f.type) for f in list(schema)[2:])], schema=schema)
 
         def made(m, tok, spans, at):
-            """spans: begin and end of blocks; at: their numbers."""
+            """spans: begin and end of blocks; at: whether there may be others of the list."""
             ids = np.repeat(np.arange(len(spans)), [j - i for i, j in spans])
             xs, ys = [], []
             for gap in range(1, max((j - i for i, j in spans), default=0)):
@@ -290,31 +325,32 @@ def _block_rows(rule: Rule):
                 ys.append(b["id"][ok])
             x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
             if len(x):
-                lo, hi = np.minimum(x, y), np.maximum(x, y)
-                k = len(lo)
-                yield pa.RecordBatch.from_arrays([pa.array(lo), pa.array(hi), *(pa.nulls(k, f.type) for f in list(schema)[2:])], schema=schema)
-            rows = [(i, j, b) for (i, j), b in zip(spans, at, strict=True) if b or j - i == BLOCK]
-            for i, j, b in rows:
-                v = [None, None, int(tok[i]), b, int(m["n"][i]), int(m["n"][j - 1]), int(m["pos"][i:j].min()), int(m["pos"][i:j].max()), _pack(m, i, j)]
+                pairs.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+                if sum(map(len, pairs)) > COMBINED:
+                    yield combined()
+            for i, j in (z for z, some in zip(spans, at, strict=True) if some):
+                v = [None, None, int(tok[i]), int(m["id"][i]), j - i, int(m["n"][i]), int(m["n"][j - 1]), int(m["pos"][i:j].min()), int(m["pos"][i:j].max()), _pack(m, i, j)]
                 yield pa.RecordBatch.from_arrays([pa.array([z], f.type) for z, f in zip(v, schema, strict=True)], schema=schema)
 
         def cut(tok, m, last):
             """Full blocks and ended lists; what may go on is kept."""
-            nonlocal token, number, rest
+            nonlocal token, number, rest, first
+            if first is None:
+                first = tok[0]
             begin = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
             end = np.append(begin[1:], len(tok))
             spans, at, kept = [], [], len(tok)
             for i, j in zip(begin.tolist(), end.tolist(), strict=True):
                 b = number if tok[i] == token else 0
-                while j - i > BLOCK or (j - i == BLOCK):
+                while j - i >= BLOCK:
                     spans.append((i, i + BLOCK))
-                    at.append(b)
+                    at.append(True)
                     i, b = i + BLOCK, b + 1
                 if j == len(tok) and not last:
                     token, number, kept = tok[j - 1], b, i
                 elif i < j:
                     spans.append((i, j))
-                    at.append(b)
+                    at.append(b > 0 or tok[i] == first or (last and j == len(tok)))
             rest = (tok[kept:], {k: v[kept:] for k, v in m.items()})
             upto = spans[-1][1] if spans else 0
             if spans:
@@ -326,12 +362,18 @@ def _block_rows(rule: Rule):
             tok = batch.column("token").to_numpy()
             m = {k: batch.column(k).to_numpy(zero_copy_only=False).astype(t) for k, t in _FIELDS}
             m["bits"] = _bit_matrix(batch.column("bits"))
+            m["wide"] = np.zeros((len(tok), 64), np.uint64)
+            large = np.flatnonzero(m["n"] > NARROW)
+            if len(large):
+                m["wide"][large] = _bit_matrix(batch.column("bits").take(pa.array(large)), 512)
             if rest is not None and len(rest[0]):
                 tok = np.concatenate([rest[0], tok])
                 m = {k: np.concatenate([rest[1][k], v]) for k, v in m.items()}
             yield from cut(tok, m, False)
         if rest is not None and len(rest[0]):
             yield from cut(*rest, True)
+        if pairs:
+            yield combined()
 
     return run
 
@@ -339,8 +381,8 @@ def _block_rows(rule: Rule):
 def _block_pairs(rule: Rule):
     def run(batches):
         for batch in batches:
-            for p, q in zip(batch.column("p").to_pylist(), batch.column("q").to_pylist(), strict=True):
-                a, b = _unpack(p), _unpack(q)
+            for p, np_, q, nq in zip(*(batch.column(c).to_pylist() for c in ("p", "members1", "q", "members2")), strict=True):
+                a, b = _unpack(p, np_), _unpack(q, nq)
                 i, j = (z.ravel() for z in np.meshgrid(np.arange(len(a["id"])), np.arange(len(b["id"])), indexing="ij"))
                 ok = _may(rule, {k: v[i] for k, v in a.items()}, {k: v[j] for k, v in b.items()})
                 x, y = a["id"][i[ok]], b["id"][j[ok]]
@@ -353,33 +395,37 @@ def _rest(scratch: Scratch, sets: DataFrame, lists: DataFrame, comps: DataFrame,
     """Pairs of different components that share an index list and that no bound rules out: (a, b)."""
     members = lists.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     members = scratch.save(members, "members")
-    mixed = members.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q")).where("p <> q").select("token")
+    lists_of = members.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("who"))
+    # lists with the same members give the same pairs: one of them stands for all
+    mixed = lists_of.where("p <> q").groupBy("p", "q", "size", "who").agg(F.min("token").alias("token")).select("token")
     answers = found.select(F.col("a").alias("leader"), F.col("b").alias("id"), (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("d"))
     entries = (
         members.join(mixed, "token", "left_semi")
         .join(answers, ["leader", "id"], "left")
         .withColumn("d", F.when(F.col("id") == F.col("leader"), 0).otherwise(F.coalesce("d", F.lit(-1))).cast("int"))
         .join(sets.select("id", "bits"), "id")
-        .select("token", "id", "comp", "n", "pos", "d", "bits")
+        .select("token", "id", "comp", "leader", "n", "pos", "d", "bits")
     )
-    blocks = scratch.save(entries.repartition(parts, "token").sortWithinPartitions("token", "n", "id").mapInArrow(_block_rows(rule), _BLOCKS), "blocks")
+    # by ranges, so that a long list is cut over several tasks
+    entries = scratch.save(entries, "entries").repartitionByRange(parts, "token", "n", "id").sortWithinPartitions("token", "n", "id")
+    blocks = scratch.save(entries.mapInArrow(_block_rows(rule), _BLOCKS), "blocks")
     inner = blocks.where("x is not null").select("x", "y")
     long = blocks.where("x is null").drop("x", "y")
-    meta = lambda k: long.select("token", *(F.col(c).alias(f"{c}{k}") for c in ("b", "nmin", "nmax", "pmin", "pmax")))
+    meta = lambda k: long.select("token", *(F.col(c).alias(f"{c}{k}") for c in ("b", "members", "nmin", "nmax", "pmin", "pmax")))
     reach = lambda k, o: F.col(f"nmax{k}") - F.greatest(F.lit(0), F.col(f"pmin{k}") - F.col(f"pmax{o}"))
     needed = F.ceil((F.col("nmin1") + F.col("nmin2")) * F.lit(rule.num) / F.lit(rule.num + rule.den))
     met = (
         meta(1)
         .join(meta(2), "token")
-        .where("b1 < b2")
+        .where("nmin1 < nmin2 OR (nmin1 = nmin2 AND b1 < b2)")
         .where((F.col("nmin2") * rule.num <= F.col("nmax1") * rule.den) & (F.least(reach(1, 2), reach(2, 1)) >= needed))
-        .select("token", "b1", "b2")
+        .select("token", "b1", "members1", "b2", "members2")
     )
     body = lambda k, name: long.select("token", F.col("b").alias(f"b{k}"), F.col("block").alias(name))
-    outer = met.join(body(1, "p"), ["token", "b1"]).join(body(2, "q"), ["token", "b2"]).select("p", "q").mapInArrow(_block_pairs(rule), "x long, y long")
+    outer = met.join(body(1, "p"), ["token", "b1"]).join(body(2, "q"), ["token", "b2"]).select("p", "members1", "q", "members2").mapInArrow(_block_pairs(rule), "x long, y long")
     pairs = inner.union(outer).distinct().select(F.col("x").alias("a"), F.col("y").alias("b"))
     pairs = scratch.save(pairs.join(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
-    scratch.drop("blocks", "members")
+    scratch.drop("blocks", "members", "entries")
     return pairs
 
 
@@ -396,10 +442,10 @@ def join(spark: SparkSession, docs: DataFrame, rule: Rule = Rule()) -> DataFrame
     rows = scratch.save(docs.mapInArrow(_describe(rule, heavy), "doc_id long, id long, n int, prefix array<long>, bits binary"), "rows")
     one = rows.where("n > 0 and doc_id is not null").groupBy("id").agg(F.min(F.struct("doc_id", "n", "prefix", "bits")).alias("m"))
     sets = scratch.save(one.select("id", F.col("m.doc_id").alias("doc"), "m.n", "m.prefix", "m.bits"), "reps")
-    index = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token")).repartition(parts, "token").sortWithinPartitions("token", "id")
-    lists = scratch.save(index.select("token", "id", "n", "pos").mapInArrow(_lists, "token long, id long, n int, pos int, leader long, leader_n int"), "lists")
-    fits = (F.least("n", "leader_n") * rule.den >= F.greatest("n", "leader_n") * rule.num) & (F.col("id") != F.col("leader"))
-    stars = lists.where(fits).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    # by ranges, so that a long list is cut over several tasks
+    index = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token")).repartitionByRange(parts, "token", "n", "id").sortWithinPartitions("token", "n", "id")
+    lists = scratch.save(index.select("token", "id", "n", "pos").mapInArrow(_lists(rule), "token long, id long, n int, pos int, leader long"), "lists")
+    stars = lists.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     found = _verify(scratch, docs, sets, stars, rule, "star")
     links = _links(found, rule)
     comps = components(scratch, links, "near")
@@ -414,3 +460,19 @@ def join(spark: SparkSession, docs: DataFrame, rule: Rule = Rule()) -> DataFrame
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     out = slim.join(final, "id", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+
+
+def representatives(spark: SparkSession, docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """The rows of ``docs``, all columns kept, less those that are linked to a smaller doc_id.
+
+    Ids are taken to be unique, but of wholly equal rows one stays. Rows without shingles or with a null id stay.
+    """
+    found = join(spark, docs, rule)
+    losers = found.where("component_id <> doc_id").select("doc_id").distinct()
+    small = losers.count() <= BROADCAST_IDS
+    kept = docs.join(F.broadcast(losers) if small else losers, "doc_id", "left_anti").select(docs.columns)
+    again = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, "doc_id", "left_anti").select(docs.columns)
+    return once.union(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"]))

@@ -19,7 +19,7 @@ WINDOW = 1 << 20
 
 pa.set_memory_pool(pa.system_memory_pool())  # gives freed memory back, which the default pool keeps
 with contextlib.suppress(Exception):  # so does the C library with large blocks, once their least size is fixed
-    ctypes.CDLL(None).mallopt(-3, 1 << 20)
+    ctypes.CDLL(None).mallopt(-3, 4 << 20)
 _P = 0x9E3779B97F4A7C15 | 1
 _Q = pow(_P, -1, 1 << 64)
 
