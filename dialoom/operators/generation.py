@@ -51,6 +51,7 @@ def generate(requests: DataFrame, load: Callable[[], Generator], check: Callable
     return requests.select(F.col("id").cast("long").alias("id"), "prompt").mapInArrow(run, "id long, attempt int, answer string, errors array<string>")
 
 
+# Fixed value: the first line of feedback.
 HEAD = "Your previous response had errors. Please fix them and regenerate:\n"
 
 

@@ -35,7 +35,7 @@ def message(line: Column) -> Column:
     return F.trim(F.when(first != "", first).when(second != "", second).otherwise(line))
 
 
-#: Texts that vary from line to line, and what stands for them, in order.
+# Texts that vary from line to line, and what stands for them, in order.
 NORMAL = (
     (r"Turn \d+: ", ""),
     (r"number [\d.]+", "number N"),

@@ -21,7 +21,7 @@ from dialoom.functions.exact import tokens_estimate
 from dialoom.operators.harness import ARGUMENTS
 from dialoom.sources.schemas import ACTIONS, ROLES
 
-#: A tool, the tool that must come before it, and what is said if it doesn't.
+# A tool, the tool that must come before it, and what is said if it doesn't.
 BEFORE = (
     (fixed.FINAL, fixed.ADD, "calculate_final called before add_foods_to_tally"),
     (fixed.ADD, fixed.SEARCH, "add_foods_to_tally called before search_foods"),

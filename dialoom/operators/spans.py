@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: What is trained: an assistant's turn with its end marker, on one line unless ``dotall``.
+# Patterns of what is trained, an assistant's turn with its end marker, on one line unless ``dotall``.
 CHATML = r"<\|im_start\|>assistant\n(.*?(?:<\|tool_call_start\|>.*?<\|tool_call_end\|>)?.*?<\|im_end\|>)"
 GEMMA = r"<\|turn>model\n(.*?<turn\|>)"
 IGNORED = -100
