@@ -15,7 +15,9 @@ from dialoom.functions import fixed
 
 def usage(requests: DataFrame, by: list[str], seconds: int = 60) -> DataFrame:
     """Requests ``(ts, tokens)`` with what was asked in the window up to and including each: in_window, tokens_in_window."""
-    w = Window.partitionBy(*by).orderBy(F.col("ts").cast("timestamp").cast("double")).rangeBetween(-seconds, Window.currentRow)
+    zoned = dict(requests.dtypes)["ts"] == "timestamp"
+    micros = F.unix_micros("ts") if zoned else F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    w = Window.partitionBy(*by).orderBy(micros).rangeBetween(-seconds * 1_000_000, Window.currentRow)
     return requests.withColumns({"in_window": F.count("*").over(w), "tokens_in_window": F.sum("tokens").over(w)})
 
 
