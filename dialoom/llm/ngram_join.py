@@ -5,11 +5,11 @@ Documents become sets of word shingles; two link when ``den * |x & y| >= num * |
 * Equal sets collapse into one before anything is compared.
 * Every set is ordered with the most frequent shingles last and indexed under its prefix, the only place
   where the first common shingle of a linked pair can stand.
-* Answers from similar sets: in each run of an index list the smallest member (the leader) is compared with
-  all others, which is linear in the list. Components of these answers stand in for their members: two
-  members of one component need no further comparison, and for members x, y of a list whose exact distances
-  to the leader are d(x), d(y), the triangle inequality gives |x ^ y| >= |d(x) - d(y)|, which rules out most
-  of the rest without looking at the sets.
+* Answers from similar sets: in each index list a member drawn by a hash (the leader) is compared with all
+  others, which is linear in the list. Components of these answers stand in for their members: two members of
+  one component need no further comparison. Lists that still mix components get another leader, for a few
+  rounds. For members x, y of a list whose exact distances to the first leader are d(x), d(y), the triangle
+  inequality gives |x ^ y| >= |d(x) - d(y)|, which rules out more without looking at the sets.
 * Block skipping: lists are ordered by set size and cut where no pair can link over a gap; members left alone
   go. What is mixed after the answers above is cut into blocks; pairs of blocks whose
   sizes or prefix positions cannot reach the needed overlap are skipped as a whole. The pairs of blocks of a
@@ -37,6 +37,8 @@ BROADCAST_IDS = 1_000_000
 #: Members of a block of an index list, and pairs that a task combines before it passes them on.
 BLOCK = 256
 COMBINED = 300_000
+#: Most rounds of comparing lists with a leader; what they leave is compared within blocks.
+ROUNDS = 3
 #: Sets of up to as many shingles have parity bitmaps of 64 bytes, larger ones of 512.
 NARROW = 900
 #: Shingles are counted in runs of this many; those seen at least LOCAL times in a run count on.
@@ -138,48 +140,34 @@ def _describe(rule: Rule, heavy: np.ndarray):
 
 
 def _lists(rule: Rule):
-    """Index lists from rows sorted by (token, n, id). A list is cut where a size is too large for the one before, as
-    no pair can link over such a gap; members left alone go (but not a task's first and last row, whose neighbours
-    another task may have). Each row gets its leader: the first member since the cut, or a later one where sizes have
-    grown out of its reach."""
+    """Index lists from rows sorted by (token, n, id). Where a size is too large for the one before, no pair can link
+    over the gap; members that such gaps leave alone go (but not a task's first and last row, whose neighbours
+    another task may have)."""
 
     def run(batches):
         held = None  # the last row, as its follower isn't known yet
-        joined, state = False, (0, 0)  # whether it goes on a run; that run's leader and its size
-        first = True
-        names = ["token", "id", "n", "pos", "leader"]
+        joined, first = False, True  # whether the last row has a neighbour before it; whether nothing came out yet
+        names = ["token", "id", "n", "pos"]
         for batch in batches:
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("token", "id", "n", "pos")]
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in names]
             if held is not None:
                 cols = [np.concatenate([a, c]) for a, c in zip(held, cols, strict=True)]
-            tok, ids, n, pos = cols
+            tok, _, n, _ = cols
             if not len(tok):
                 continue
             link = np.empty(len(tok), bool)
             link[0] = joined
             link[1:] = (tok[1:] == tok[:-1]) & (rule.den * n[:-1].astype(np.int64) >= rule.num * n[1:].astype(np.int64))
-            begin = np.flatnonzero(~link)
-            if link[0]:
-                begin = np.concatenate([[0], begin])
-            length = np.diff(np.append(begin, len(tok)))
-            lead, lead_n = ids[begin].copy(), n[begin].copy()
-            if link[0]:
-                lead[0], lead_n[0] = state
-            leader, leader_n = np.repeat(lead, length), np.repeat(lead_n, length)
-            for b in np.flatnonzero(rule.den * lead_n.astype(np.int64) < rule.num * n[begin + length - 1].astype(np.int64)).tolist():
-                i, j = int(begin[b]), int(begin[b] + length[b])
-                while (i := i + int(np.searchsorted(n[i:j], rule.den * int(leader_n[i]) // rule.num, "right"))) < j:
-                    leader[i:j], leader_n[i:j] = ids[i], n[i]
             keep = link.copy()
             keep[:-1] |= link[1:]
             keep[0] |= first
-            held, joined, state = [c[-1:] for c in cols], bool(link[-1]), (leader[-1], leader_n[-1])
+            held, joined = [c[-1:] for c in cols], bool(link[-1])
             if len(tok) > 1:
                 first = False
                 rows = np.flatnonzero(keep[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(x[rows]) for x in (tok, ids, n, pos, leader)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(x[rows]) for x in cols], names=names)
         if held is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*held, np.array([state[0]], np.int64))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=names)
 
     return run
 
@@ -380,28 +368,64 @@ def _block_rows(rule: Rule):
 
 def _block_pairs(rule: Rule):
     def run(batches):
+        pairs: list[np.ndarray] = []
+
+        def combined():
+            one = np.unique(np.concatenate(pairs), axis=0)
+            pairs.clear()
+            return pa.RecordBatch.from_arrays([pa.array(one[:, 0]), pa.array(one[:, 1])], names=["x", "y"])
+
         for batch in batches:
             for p, np_, q, nq in zip(*(batch.column(c).to_pylist() for c in ("p", "members1", "q", "members2")), strict=True):
                 a, b = _unpack(p, np_), _unpack(q, nq)
                 i, j = (z.ravel() for z in np.meshgrid(np.arange(len(a["id"])), np.arange(len(b["id"])), indexing="ij"))
                 ok = _may(rule, {k: v[i] for k, v in a.items()}, {k: v[j] for k, v in b.items()})
                 x, y = a["id"][i[ok]], b["id"][j[ok]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
+                if len(x):
+                    pairs.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+                    if sum(map(len, pairs)) > COMBINED:
+                        yield combined()
+        if pairs:
+            yield combined()
 
     return run
 
 
-def _rest(scratch: Scratch, sets: DataFrame, lists: DataFrame, comps: DataFrame, found: DataFrame, rule: Rule, parts: int) -> DataFrame:
-    """Pairs of different components that share an index list and that no bound rules out: (a, b)."""
-    members = lists.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    members = scratch.save(members, "members")
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members of lists that have several components."""
     lists_of = members.groupBy("token").agg(F.min("comp").alias("p"), F.max("comp").alias("q"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("who"))
     # lists with the same members give the same pairs: one of them stands for all
-    mixed = lists_of.where("p <> q").groupBy("p", "q", "size", "who").agg(F.min("token").alias("token")).select("token")
-    answers = found.select(F.col("a").alias("leader"), F.col("b").alias("id"), (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("d"))
+    some = lists_of.where("p <> q").groupBy("p", "q", "size", "who").agg(F.min("token").alias("token")).select("token")
+    return members.join(some, "token", "left_semi")
+
+
+def _leaders(scratch: Scratch, members: DataFrame, number: int) -> DataFrame:
+    """The leader of each list: at first drawn alike for all lists, so that similar lists share one, then for each list
+    by itself, so that members meet many. Written, so that joins may split long lists."""
+    drawn = F.xxhash64("id", F.lit(number)) if number == 1 else F.xxhash64("id", "token", F.lit(number))
+    least = F.min(F.struct(drawn.alias("h"), "id", "n", "pos", "comp")).alias("l")
+    lead = members.groupBy("token").agg(least).select("token", *(F.col(f"l.{c}").alias(f"l{c}") for c in ("id", "n", "pos", "comp")))
+    return scratch.save(lead, f"lead{number}")
+
+
+def _stars(members: DataFrame, lead: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of leaders and members of other components that may link: linear in the lists."""
+    n, m = F.col("n"), F.col("ln")
+    needed = F.ceil((n + m) * F.lit(rule.num) / F.lit(rule.num + rule.den))
+    most = F.least("pos", "lpos") + 1 + F.least(n - F.col("pos") - 1, m - F.col("lpos") - 1)
+    fits = (F.col("comp") != F.col("lcomp")) & (F.least(n, m) * rule.den >= F.greatest(n, m) * rule.num) & (most >= needed)
+    return members.join(lead, "token").where(fits).select(F.least("id", "lid").alias("a"), F.greatest("id", "lid").alias("b")).distinct()
+
+
+def _rest(scratch: Scratch, sets: DataFrame, members: DataFrame, lead: DataFrame, found: DataFrame, rule: Rule, parts: int) -> DataFrame:
+    """Pairs of different components that share an index list and that no bound rules out: (a, b)."""
+    answers = found.select("a", "b", (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("d"))
+    to = lead.select("token", F.col("lid").alias("leader"))
     entries = (
-        members.join(mixed, "token", "left_semi")
-        .join(answers, ["leader", "id"], "left")
+        _mixed(members)
+        .join(to, "token")
+        .withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader")})
+        .join(answers, ["a", "b"], "left")
         .withColumn("d", F.when(F.col("id") == F.col("leader"), 0).otherwise(F.coalesce("d", F.lit(-1))).cast("int"))
         .join(sets.select("id", "bits"), "id")
         .select("token", "id", "comp", "leader", "n", "pos", "d", "bits")
@@ -424,8 +448,8 @@ def _rest(scratch: Scratch, sets: DataFrame, lists: DataFrame, comps: DataFrame,
     body = lambda k, name: long.select("token", F.col("b").alias(f"b{k}"), F.col("block").alias(name))
     outer = met.join(body(1, "p"), ["token", "b1"]).join(body(2, "q"), ["token", "b2"]).select("p", "members1", "q", "members2").mapInArrow(_block_pairs(rule), "x long, y long")
     pairs = inner.union(outer).distinct().select(F.col("x").alias("a"), F.col("y").alias("b"))
-    pairs = scratch.save(pairs.join(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "rest")
-    scratch.drop("blocks", "members", "entries")
+    pairs = scratch.save(pairs.join(found.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    scratch.drop("blocks", "entries")
     return pairs
 
 
@@ -444,19 +468,34 @@ def join(spark: SparkSession, docs: DataFrame, rule: Rule = Rule()) -> DataFrame
     sets = scratch.save(one.select("id", F.col("m.doc_id").alias("doc"), "m.n", "m.prefix", "m.bits"), "reps")
     # by ranges, so that a long list is cut over several tasks
     index = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token")).repartitionByRange(parts, "token", "n", "id").sortWithinPartitions("token", "n", "id")
-    lists = scratch.save(index.select("token", "id", "n", "pos").mapInArrow(_lists(rule), "token long, id long, n int, pos int, leader long"), "lists")
-    stars = lists.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    found = _verify(scratch, docs, sets, stars, rule, "star")
-    links = _links(found, rule)
-    comps = components(scratch, links, "near")
-    more = _links(_verify(scratch, docs, sets, _rest(scratch, sets, lists, comps, found, rule, parts), rule, "late"), rule)
-    if not more.isEmpty():
-        comps = components(scratch, links.union(more), "all")
+    lists = scratch.save(index.select("token", "id", "n", "pos").mapInArrow(_lists(rule), "token long, id long, n int, pos int"), "lists")
+    members = lists.withColumn("comp", F.col("id"))
+    comps, found, lead = None, None, None
+    for number in range(1, ROUNDS + 1):
+        some = members if comps is None else scratch.save(_mixed(members), f"mixed{number}")
+        own = _leaders(scratch, some, number)
+        pairs = _stars(some, own, rule)
+        if found is not None:
+            pairs = pairs.join(found.select("a", "b"), ["a", "b"], "left_anti")
+        new = _verify(scratch, docs, sets, pairs, rule, f"star{number}")
+        found, lead = (new, own) if found is None else (found.union(new), lead)
+        gained = not _links(new, rule).isEmpty()
+        if gained or comps is None:
+            comps = components(scratch, _links(found, rule), f"near{number}")
+            members = scratch.save(lists.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), f"members{number}")
+        scratch.drop(f"mixed{number}")
+        if not gained:
+            break
+    late = _verify(scratch, docs, sets, _rest(scratch, sets, members, lead, found, rule, parts), rule, "late")
+    if not _links(late, rule).isEmpty():
+        comps = components(scratch, _links(found.union(late), rule), "all")
     grouped = sets.select("id", "doc").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     least = grouped.groupBy("comp").agg(F.min("doc").alias("component_id"))
     final = scratch.save(grouped.join(least, "comp").select("id", "component_id"), "final")
     slim = scratch.save(rows.select("doc_id", "id", F.col("n").cast("long").alias("n_shingles")), "slim")
-    scratch.drop("rows", "reps", "lists", "rest", "star-found", "late-found", "near-out", "all-out")
+    scratch.drop("rows", "reps", "lists", "rest", "late-found", "all-out")
+    for number in range(1, ROUNDS + 1):
+        scratch.drop(*(f"{x}{number}{y}" for x, y in (("star", "-found"), ("near", "-out"), ("members", ""), ("lead", ""))))
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     out = slim.join(final, "id", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
