@@ -6,7 +6,8 @@ With prior p of the positive class, the risk of a scorer g is
     p * R_pos(g, +) + max(0, R_unl(g, -) - p * R_pos(g, -)),
 
 R being mean logistic losses. When the second term falls below zero, the step is taken against it instead,
-which keeps the model from explaining the unlabelled positives away. Features say whether a byte n-gram of a
+which keeps the model from explaining the unlabelled positives away. Documents confirmed clean take no part in that; they
+only set the bias. Features say whether a byte n-gram of a
 word (with the space before it) occurs, or how densely; those that positives have significantly more often are kept. The
 model is linear, trained with numpy's Adam steps over the whole sample, and each distinct word of a batch is
 looked up once.
@@ -31,7 +32,9 @@ class Plan:
     #: Most confirmed toxic and most unlabelled documents, drawn by a hash of id and text, and most characters
     #: taken of each for training.
     positives: int = 1500
-    unlabelled: int = 4000
+    unlabelled: int = 3500
+    #: Most documents confirmed clean, which only set the bias.
+    clean: int = 1500
     sample_chars: int = 12_000
     features: int = 1024
     #: Least log-likelihood ratio (G) and least positives of a feature.
@@ -132,19 +135,23 @@ def _g(a, n, b, m):
     return np.where(a * m > b * n, g, 0.0)
 
 
-def fit(positive: list[str], unlabelled: list[str], prior: float, plan: Plan = Plan()) -> Model:
+def fit(positive: list[str], unlabelled: list[str], prior: float, plan: Plan = Plan(), clean: list[str] | None = None) -> Model:
     empty = [np.zeros(0, np.uint64) for _ in plan.sizes]
     if not positive or not unlabelled:
         return Model(empty, empty, np.zeros(0), float(np.log(prior / (1 - prior))))
-    p, u = _document_counts(positive, plan.sizes), _document_counts(unlabelled, plan.sizes)
-    found = []  # (g, size number, code)
-    for k in range(len(plan.sizes)):
-        codes, a = p[k]
-        at = np.minimum(np.searchsorted(u[k][0], codes), max(0, len(u[k][0]) - 1))
-        b = np.where(u[k][0][at] == codes, u[k][1][at], 0) if len(u[k][0]) else np.zeros(len(codes))
+    found = []  # (-g, size number, code)
+    often = [(c[n >= plan.least_positives], n[n >= plan.least_positives]) for c, n in _document_counts(positive, plan.sizes)]
+    grams = [np.unique(c >> np.uint64(3)) for c, _ in often]
+    others = [np.zeros(8 * len(g), np.int64) for g in grams]
+    for i in range(0, len(unlabelled), 100):  # of unlabelled texts only these n-grams are counted
+        for k, _, at in _present(pa.array(unlabelled[i : i + 100], pa.large_string()), plan.sizes, grams):
+            others[k] += np.bincount(at.astype(np.int64), minlength=len(others[k]))
+    for k, (codes, a) in enumerate(often):
+        b = others[k][8 * np.searchsorted(grams[k], codes >> np.uint64(3)) + (codes & np.uint64(7)).astype(np.int64)]
         g = _g(a.astype(float), len(positive), b.astype(float), len(unlabelled))
-        keep = (g >= plan.least_g) & (a >= plan.least_positives)
+        keep = g >= plan.least_g
         found += list(zip((-g[keep]).tolist(), [k] * int(keep.sum()), codes[keep].tolist(), strict=True))
+    del often, others
     found = sorted(found)[: plan.features]
     grams, place = [], []
     for k in range(len(plan.sizes)):
@@ -168,14 +175,28 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, plan: Plan = P
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         step = plan.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
-    # no more of the unlabelled text than the prior is called toxic, unless that costs a tenth of the positives
+    # the bias is set so that the threshold stands where it serves best
     limit = float(np.log(plan.threshold / (1 - plan.threshold)))
     gp, gu = (x @ w + b for x in xs)
-    over = min(float(np.quantile(gu, 1 - prior)), float(np.quantile(gp, 0.1))) - limit
-    model.weight, model.bias = w.astype(float), float(b) - max(0.0, over)
+    if clean:  # between confirmed positives and negatives, at the best F1, weighted by the prior
+        over = _best_cut(gp, _matrix(model, clean, plan) @ w + b, prior) - limit
+    else:  # no more of the unlabelled text than the prior is called toxic, unless that costs a tenth of the positives
+        over = max(0.0, min(float(np.quantile(gu, 1 - prior)), float(np.quantile(gp, 0.1))) - limit)
+    model.weight, model.bias = w.astype(float), float(b) - over
+    del xs
+    wordhash.trim()
     return model
 
 
+def _best_cut(good: np.ndarray, bad: np.ndarray, prior: float) -> float:
+    """The middle of the first span of cuts with the best F1: ``good`` should lie above, ``bad`` below."""
+    values = np.unique(np.concatenate([good, bad]))
+    cuts = np.concatenate([[values[0] - 1], (values[1:] + values[:-1]) / 2, [values[-1] + 1]])
+    hit = prior * (1 - np.searchsorted(np.sort(good), cuts) / len(good))
+    false = (1 - prior) * (1 - np.searchsorted(np.sort(bad), cuts) / len(bad))
+    return float(cuts[int(np.argmax(2 * hit / (hit + false + prior)))])
+
+
 def _matrix(model: Model, texts: list[str], plan: Plan) -> np.ndarray:
     x = np.zeros((len(texts), len(model.weight)), np.float32)
     for i in range(0, len(texts), 500):
@@ -211,12 +232,16 @@ def train(docs: DataFrame, labels: DataFrame, plan: Plan = Plan()) -> Model:
     texts = docs.where(F.col("text").isNotNull() & ~held_out()).select("doc_id", F.substring("text", 1, plan.sample_chars).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
     keys = own.where("toxic = 1").select("doc_id")
     # the ids are drawn first, so that labels are joined to few texts
-    some = keys.orderBy(F.xxhash64("doc_id"), "doc_id").limit(plan.positives)
-    positive = [r["text"] for r in texts.join(F.broadcast(some), "doc_id").orderBy("h").limit(2 * plan.positives).select("text").collect()]
+    def of(keys: DataFrame, most: int) -> list[str]:
+        some = keys.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        return [r["text"] for r in texts.join(F.broadcast(some), "doc_id").orderBy("h").limit(2 * most).select("text").collect()]
+
+    positive = of(keys, plan.positives)
+    clean = of(own.where("toxic = 0").select("doc_id"), plan.clean)
     n = texts.count()
     share = min(1.0, 1.1 * plan.unlabelled / n) if n else 1.0
     drawn = texts.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("h")).limit(plan.unlabelled)
-    return fit(positive, [r["text"] for r in drawn.select("text").collect()], prior, plan)
+    return fit(positive, [r["text"] for r in drawn.select("text").collect()], prior, plan, clean)
 
 
 def score(docs: DataFrame, model: Model, plan: Plan = Plan()) -> DataFrame:
