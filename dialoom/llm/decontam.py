@@ -22,7 +22,7 @@ from dialoom.llm import wordhash
 @dataclass(frozen=True)
 class Plan:
     #: Edits allowed for each character of an item.
-    rate: float = 0.05
+    rate: float = 0.08
     #: Shorter items (after normalising) aren't searched: they say too little.
     least: int = 24
     #: Characters of a block of items, which bounds what is sent to the executors.

@@ -57,7 +57,7 @@ def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which documents hold which benchmark items, up to an edit for each twenty characters."""
+    """Which documents hold which benchmark items, up to eight edits in a hundred characters."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return decontam.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -82,5 +82,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_ngram_join": sql.NGRAM_JOIN,
     "op10_tool_calls": sql.TOOL_CALLS,
 }

@@ -31,3 +31,17 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id)
 FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
 LEFT JOIN chains h ON h.conv_id = c.conv_id AND h.call_id = c.call_id
 """
+
+#: Classes of documents whose 3-word shingle sets overlap by nine tenths of their union, by comparing all that share one.
+NGRAM_JOIN = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS ss FROM w),
+n AS (SELECT doc_id, len(ss) AS n FROM s),
+x AS (SELECT doc_id, unnest(ss) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n u ON u.doc_id = a JOIN n v ON v.doc_id = b WHERE 100 * shared >= 90 * (u.n + v.n - shared)),
+r AS (SELECT doc_id, doc_id AS hit FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.hit = e.a)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, min(hit) AS component_id FROM n JOIN r USING (doc_id) GROUP BY doc_id, n
+"""
