@@ -252,11 +252,11 @@ def read(spark: SparkSession, path: str, vocabulary: int = 1 << 16) -> DataFrame
     """Decode the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
     table = load_table(spark, path, vocabulary)
     blocks = spark.read.parquet(f"{path}/blocks")
-    base, bases = 0, []
-    for r in sorted(blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()):  # a row for each part
-        bases.append((r["part"], base))
-        base += r["n"]
-    first = F.create_map(*(F.lit(x) for pair in bases for x in pair))[F.col("part")] if bases else F.lit(0)
+    sizes = {r["part"]: r["n"] for r in blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}  # a row for each part
+    before = [0]
+    for p in range(max(sizes, default=0)):
+        before.append(before[-1] + sizes.get(p, 0))
+    first = F.element_at(F.array(*map(F.lit, before)), F.col("part") + 1)
     rows = blocks.select((first.cast("long") + F.col("start")).alias("base"), "doc_ids", "sizes", "block")
     return rows.mapInArrow(_read(table), "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.llm import wordhash
@@ -138,6 +139,17 @@ def _run(plan: Plan):
     return run
 
 
+def _above(cuts: list[int], k: Column) -> Column:
+    """How many of the descending cuts are above k: looked up among every s-th, then among the s that follow it."""
+    if not cuts:
+        return F.lit(0)
+    s = math.isqrt(len(cuts) - 1) + 1
+    count = lambda a: F.size(F.filter(a, lambda c: c > k))
+    every = F.array(*map(F.lit, cuts))
+    first = (count(F.array(*map(F.lit, cuts[::s]))) - 1) * s
+    return F.when(first < 0, 0).otherwise(first + count(F.slice(every, F.greatest(first, F.lit(0)) + 1, s)))
+
+
 def fingerprints(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """Fingerprints of each row of ``docs(doc_id, text)`` and of its edited text.
 
@@ -152,7 +164,7 @@ def fingerprints(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> D
     marks = [i / n for i in range(1, n)]
     cuts = sorted({int(x) for x in docs.stat.approxQuantile("k", marks, 0.2 / n)}, reverse=True) if marks else []  # n - 1 values at most
     # bucket 0 has the largest ids; a row's bucket is the number of cuts above its id
-    bucket = F.lit(len(cuts)) - F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("k"))) if cuts else F.lit(0)
+    bucket = _above(cuts, F.col("k"))
     keyed = docs.withColumn("bucket", bucket.cast("int"))
     tops = sorted((r["bucket"], r["top"]) for r in keyed.groupBy("bucket").agg(F.max("k").alias("top")).collect())  # a row for each bucket
     own = keyed.withColumn("guest", F.lit(False))

@@ -101,11 +101,11 @@ def shards(spark: SparkSession, docs: DataFrame, number: int = 40) -> DataFrame:
     counts = sorted((r["part"], r["n"]) for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())  # a row for each partition
     total = sum(n for _, n in counts)
     scratch.drop("rows", "groups")
-    before, base = [], 0
-    for p, n in counts:
-        before += [F.lit(p), F.lit(base)]
-        base += n
-    first = F.create_map(*before)[part] if before else F.lit(0)
+    sizes = dict(counts)
+    before = [0]
+    for p in range(max(sizes, default=0)):
+        before.append(before[-1] + sizes.get(p, 0))
+    first = F.element_at(F.array(*map(F.lit, before)), part + 1)
     at = first.cast("long") + F.col("m").bitwiseAND(F.lit((1 << 33) - 1))
     small, extra = divmod(total, number)
     cut = extra * (small + 1)
