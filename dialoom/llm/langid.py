@@ -132,7 +132,7 @@ class Model:
     def word_bits(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Exact code lengths of words, a column for each language."""
         out = np.zeros((len(start), len(self.langs)), np.float64)
-        step = max(1, (1 << 20) // max(1, int((end - start).mean()) + 1)) if len(start) else 1
+        step = max(1, (1 << 18) // max(1, int((end - start).mean()) + 1)) if len(start) else 1
         for i in range(0, len(start), step):
             buf, off, known = _stream(data, start[i : i + step], end[i : i + step])
             bits = np.empty((len(known), len(self.langs)), np.float32)
@@ -171,7 +171,7 @@ def _lettered(texts: pa.Array, w: wordhash.Words) -> np.ndarray:
 def _predict(model: Model, plan: Plan):
     def run(batches):
         for batch in batches:
-            for part in wordhash.parts(batch, "text", 4 << 20):
+            for part in wordhash.parts(batch, "text"):
                 texts = part.column("text")
                 bits, w = model.text_bits(texts)
                 known = _lettered(texts, w) & (len(model.langs) > 0)
@@ -220,7 +220,7 @@ def keep(docs: DataFrame, model: Model, plan: Plan = Plan(), least: float = 0.5)
 
     def run(batches):
         for batch in batches:
-            for part in wordhash.parts(batch, "text", 4 << 20):
+            for part in wordhash.parts(batch, "text"):
                 slim = part.select(["doc_id", "text"])
                 found = next(predict_batch([slim]), None) if slim.num_rows else None
                 if found is not None:

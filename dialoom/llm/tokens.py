@@ -18,7 +18,7 @@ import pyarrow as pa
 from dialoom.llm.wordhash import SPACE, buffer, span_hashes
 
 #: Pieces and ids kept by a process: about 20 bytes for a piece and 4 for an id.
-MOST_PIECES, MOST_IDS = 1_000_000, 8_000_000
+MOST_PIECES, MOST_IDS = 1_200_000, 8_000_000
 
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True

@@ -19,7 +19,7 @@ WINDOW = 1 << 20
 
 pa.set_memory_pool(pa.system_memory_pool())  # gives freed memory back, which the default pool keeps
 with contextlib.suppress(Exception):  # so does the C library with large blocks, once their least size is fixed
-    ctypes.CDLL(None).mallopt(-3, 4 << 20)
+    ctypes.CDLL(None).mallopt(-3, 1 << 20)
 _P = 0x9E3779B97F4A7C15 | 1
 _Q = pow(_P, -1, 1 << 64)
 
@@ -132,7 +132,7 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(total), off
 
 
-def parts(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20):
+def parts(batch: pa.RecordBatch, column: str, most_bytes: int = 3 << 20):
     """Slices of a batch that hold about ``most_bytes`` of text each, at least a row."""
     texts = batch.column(column)
     if not len(texts):
@@ -145,3 +145,4 @@ def parts(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20):
         j = max(i + 1, int(np.searchsorted(total, before + most_bytes, "right")))
         yield batch.slice(i, j - i)
         i = j
+    trim()
