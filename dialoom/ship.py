@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 #: Rows go to Python in batches of about as many bytes, so that workers' memory doesn't follow row sizes.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 3 << 20
 
 _sent: set[str] = set()
 
