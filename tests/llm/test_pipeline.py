@@ -66,7 +66,8 @@ def test_queries_cover_all_operators():
 
 def test_sql_twins(spark):
     db = duckdb.connect()
-    db.sql(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    for t in ("conversations", "documents"):
+        db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, sql in queries.ORACLE_SQL.items():
         got = queries.QUERIES[name](spark, SF)
         want = db.sql(sql)
