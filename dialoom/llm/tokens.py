@@ -4,12 +4,14 @@ The pre-tokenizers used here never join characters over the start of a run of wh
 letter or digit with ASCII punctuation after it (the apostrophe aside). A text is cut at these places, and its
 ids are those of its pieces. Each distinct piece, known by a 64-bit hash of its bytes, is encoded once by the
 library and kept as an entry of a few dozen bytes; the store starts anew when it is full. A text with other
-white space than ASCII's is one piece, as a run could be cut within.
+white space than ASCII's is one piece, as a run could be cut within, and so is one that holds the string of an
+added token ('<|endoftext|>'), which the library gives that token's id.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -48,7 +50,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        kinds = self.tokenizer.get_added_tokens_decoder().values()
+        # where one is sought in normalised text, no text is cut: its string may look different before
+        added = "" if any(t.normalized for t in kinds) else "|".join(sorted(re.escape(t.content) for t in kinds))
+        self.added = re.compile(added.encode()) if kinds else None
         self.clear()
 
     @classmethod
@@ -96,8 +101,10 @@ class Encoder:
         cut = space.copy()
         cut[1:] &= ~space[:-1]
         cut[1:] |= _MARK[data[1:]] & _ALNUM[data[:-1]]
-        wide = _wide_space(data)
-        for d in np.unique(np.searchsorted(off, wide, "right") - 1):
+        whole = _wide_space(data)
+        if self.added:
+            whole = np.concatenate([whole, np.array([m.start() for m in self.added.finditer(data)], np.int64)])
+        for d in np.unique(np.searchsorted(off, whole, "right") - 1):
             cut[off[d] : off[d + 1]] = False
         cut[off[off < n]] = True
         start = np.flatnonzero(cut)

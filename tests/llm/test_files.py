@@ -8,6 +8,7 @@ import pytest
 from cases import documents, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from dialoom.llm import ans, hilbert, packing, tokens
 
@@ -35,6 +36,18 @@ def test_ids_of_any_text(texts):
         assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == want
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_added_tokens_in_a_text_get_their_ids(path):
+    fresh = Tokenizer.from_file(path)
+    texts = ["one <|endoftext|> two", "<|startoftext|>a, b<|endoftext|>\n\n<|endoftext|>", "x <|endoftext| > y", "plain, text", "<|ENDOFTEXT|>.a", "a<|endoftext", "|>b", None]
+    e = tokens.Encoder(path)
+    for _ in range(2):  # the second time from the store
+        ids, off = e.encode(texts, 2)
+        for i, t in enumerate(texts):
+            assert ids[off[i] : off[i + 1]].tolist() == [*fresh.encode(t or "", add_special_tokens=False).ids, 2], t
+    assert fresh.token_to_id("<|endoftext|>") in ids
+
+
 def test_a_full_store_starts_anew(monkeypatch):
     monkeypatch.setattr(tokens, "MOST_PIECES", 5)
     e = tokens.Encoder(BYTE)
