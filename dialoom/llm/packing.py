@@ -34,10 +34,10 @@ class Plan:
     end: int = 2
     #: Pieces of a block, on average.
     block: int = 3000
-    islands: int = 2
-    epochs: int = 2
-    generations: int = 4
-    population: int = 4
+    islands: int = 3
+    epochs: int = 3
+    generations: int = 6
+    population: int = 5
     #: Bins with more free places than this are packed again in a further round.
     loose: int = 8
     rounds: int = 3

@@ -132,6 +132,14 @@ def test_genetic_packing_is_valid_and_no_worse_than_best_fit():
     assert packing.pack(sizes, plan, 1)[0] == best  # the same again
 
 
+@pytest.mark.parametrize("seed", [3, 17, 27])
+def test_genetic_packing_beats_best_fit_where_it_can(seed):
+    sizes = np.random.default_rng(seed).integers(200, 700, 60)
+    bins = []
+    packing.best_fit(np.arange(60), sizes, bins, [], 1024)
+    assert len(packing.pack(sizes, packing.Plan(""), 1)[0]) == -(-int(sizes.sum()) // 1024) < len(bins)
+
+
 def test_curve_visits_each_cell_by_unit_steps():
     import itertools
 
