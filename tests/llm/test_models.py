@@ -166,6 +166,34 @@ def test_leaks_equal_brute_force(spark):
     assert decontam.matches(docs, bench.limit(0)).count() == 0 and decontam.matches(docs.limit(0), bench).count() == 0
 
 
+def test_short_items_are_found_between_word_boundaries(spark):
+    bench = spark.createDataFrame([(1, "Paris"), (2, "capital of France?"), (3, "42"), (4, "東京"), (None, "an item without an id")], "item_id long, text string")
+    texts = ["it is PARIS.", "parisian", "the capital off france? yes", "the capitals of frances?", "4 42, 5", "142 421", "私は東京に", "here is an item  without an ID too", "nothing", "", None, "x Parisian Paris"]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    got = sorted((r["doc_id"], r["item_id"], r["distance"], r["start"], r["end"], r["budget"]) for r in decontam.matches(docs, bench).collect())
+    assert got == [(0, 1, 0, 6, 11, 0), (2, 2, 1, 4, 23, 1), (4, 3, 0, 2, 4, 0), (6, 4, 0, 2, 4, 0), (11, 1, 0, 11, 16, 0)]
+    assert sorted(r["doc_id"] for r in decontam.clean(docs, bench).collect()) == [1, 3, 5, 8, 9, 10]
+
+
+def test_short_items_equal_brute_force():
+    r = random.Random(5)
+    plan = decontam.Plan()
+    for _ in range(150):
+        text = decontam.normal("".join(r.choice("ab ,") for _ in range(60)))
+        items = [(i, x) for i in range(6) if (x := decontam.normal("".join(r.choice("ab ,") for _ in range(r.randint(1, 20)))))]
+        at = r.randrange(20)
+        items.append((9, decontam.normal(text[at : at + 8] + "b" + text[at + 9 : at + 18])))
+        got = {k: d for k, d, _, _ in decontam.Matcher(items, plan).find(text)}
+        ends = [p for p in range(len(text) + 1) if decontam.boundary(text, p)]
+        want = {}
+        for k, (_, item) in enumerate(items):
+            budget = int(len(item) * plan.rate)
+            near = [decontam.distance(item, text[a:b]) for a in ends for b in ends if a < b and abs(b - a - len(item)) <= budget]
+            if near and min(near) <= budget:
+                want[k] = min(near)
+        assert got == want
+
+
 def python_host_path(url):
     if url is None or "://" not in url:
         return "", ""
