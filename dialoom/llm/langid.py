@@ -8,7 +8,8 @@ down to a uniform code over 256 bytes. Contexts don't reach over white space, so
 and each distinct word of a batch is scored once. The language with the shortest code wins.
 
 Trees of all languages are kept as one sorted table for each order, holding for a context and byte the final
-code length in every language, and for a context its escape costs.
+code length in every language, and for a context its escape costs. Many languages are learned and scored in blocks,
+each with tables of its own.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ class Plan:
     #: Most training documents for each language, drawn by a hash of the id, and most bytes taken of each.
     sample: int = 600
     sample_bytes: int = 6_000
-    #: Most languages; the most frequent are learned.
+    #: Languages of a block, whose samples are on the driver at once; all are learned.
     languages: int = 64
     #: Bits by which a code must be shorter for the odds to double; scores are softened by it.
     temper: float = 8.0
@@ -154,6 +155,18 @@ class Model:
         return sums[w.rows[1:]] - sums[w.rows[:-1]], w
 
 
+class Blocks(Model):
+    """Models of several blocks of languages, asked one after another."""
+
+    def __init__(self, models: list[Model]):
+        super().__init__(models[0].order, [lang for m in models for lang in m.langs])
+        self.models = models
+
+    def text_bits(self, texts: pa.Array) -> tuple[np.ndarray, wordhash.Words]:
+        found = [m.text_bits(texts) for m in self.models]
+        return np.hstack([bits for bits, _ in found]), found[0][1]
+
+
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 
@@ -190,12 +203,18 @@ def train(docs: DataFrame, plan: Plan = Plan()) -> Model:
     """Fit to the rows of ``docs(doc_id, text, lang)`` whose lang isn't null and that aren't held out.
 
     At most about ``sample`` documents of each language are drawn by a hash of the id, of them at most
-    ``sample_bytes`` characters: that is the bound of what comes to the driver.
+    ``sample_bytes`` characters, for ``languages`` of them at a time: that is the bound of the texts on the driver.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(plan.languages).collect()}
-    if not counts:
+    counts = [(r["lang"], r["count"]) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
+    models = [_fit(rows, dict(counts[i : i + plan.languages]), plan) for i in range(0, len(counts), plan.languages)]
+    if not models:
         return Model.fit({}, plan.order)
+    return models[0] if len(models) == 1 else Blocks(models)
+
+
+def _fit(rows: DataFrame, counts: dict[str, int], plan: Plan) -> Model:
+    """The model of one block of languages, given with their numbers of documents."""
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     most = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 30, int((1 << 30) * plan.sample / n)))))[F.col("lang")]
     limit = 2 * plan.sample * len(counts)  # twice what is expected; never reached but by chance

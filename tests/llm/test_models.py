@@ -117,6 +117,19 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(docs.limit(0), toxicity.train(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int"))).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    letters = {f"l{k:02d}": "abcdefghijklmnopqrstuvwxyz"[3 * k : 3 * k + 3] for k in range(7)}
+    r = random.Random(4)
+    rows = [(100 * k + i, " ".join("".join(r.choice(abc) for _ in range(5)) for _ in range(30)), lang, "a") for k, (lang, abc) in enumerate(letters.items()) for i in range(12 + k)]
+    docs = documents(spark, rows)
+    whole, blocks = (langid.train(docs, langid.Plan(languages=n)) for n in (64, 3))
+    assert sorted(blocks.langs) == sorted(letters)
+    want = {i: lang for i, _, lang, _ in rows}
+    for model in (whole, blocks):
+        assert {x["doc_id"]: x["lang_pred"] for x in langid.predict(docs, model).collect()} == want
+    assert langid.keep(docs, blocks).count() == len(rows)
+
+
 def levenshtein_in(p, t):
     row = [0] * (len(t) + 1)
     for i, c in enumerate(p, 1):
