@@ -5,10 +5,28 @@ Those named ``*_sql`` give text that Spark SQL and other dialects read alike.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once a row, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def cuts_below(cuts: list, value: Column) -> Column:
+    """How many of the ascending cuts aren't above the value: looked up among every s-th, then among the s that follow it."""
+    if not cuts:
+        return F.lit(0)
+    s = math.isqrt(len(cuts) - 1) + 1
+    count = lambda a: F.size(F.filter(a, lambda c: c <= value))
+    first = (count(F.array(*map(F.lit, cuts[::s]))) - 1) * s
+    return F.when(first < 0, 0).otherwise(first + count(F.slice(F.array(*map(F.lit, cuts)), F.greatest(first, F.lit(0)) + 1, s)))
+
+
 def py_round_sql(x: str, digits: int = 2) -> str:
     """Python's ``round(x, digits)`` of a double: correctly rounded from the binary value, ties to even.
 
@@ -71,18 +89,18 @@ def percentiles(counts: str, shares: list[tuple[str, float]]) -> list[Column]:
     ``counts`` comes from a group by value, so that a whole table's percentiles need one row for each distinct
     value rather than one for each row.
     """
-    pairs = F.sort_array(F.col(counts))
-    total = F.aggregate(pairs, F.lit(0).cast("long"), lambda a, p: a + p["n"])
-    out = []
     start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("v"))
 
-    def at(rank: Column) -> Column:
+    def at(pairs: Column, rank: Column) -> Column:
         def step(a: Column, p: Column) -> Column:
             seen = a["seen"] + p["n"]
             return F.struct(seen.alias("seen"), F.when(a["v"].isNull() & (seen > rank), p["value"].cast("long")).otherwise(a["v"]).alias("v"))
 
         return F.aggregate(pairs, start, step)["v"]
 
-    for name, q in shares:
-        out.append(at(F.least(total - 1, F.floor(total * F.lit(q)))).alias(name))
-    return out
+    def of(q: float) -> Column:
+        total = lambda pairs: F.aggregate(pairs, F.lit(0).cast("long"), lambda a, p: a + p["n"])
+        rank = lambda n: F.least(n - 1, F.floor(n * F.lit(q)))
+        return let(F.sort_array(F.col(counts)), lambda pairs: let(rank(total(pairs)), lambda r: at(pairs, r)))
+
+    return [of(q).alias(name) for name, q in shares]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dialoom.functions import fixed
+from dialoom.functions.exact import cuts_below
 
 
 def utterance_key(turns: DataFrame, content: str = "text") -> DataFrame:
@@ -84,17 +87,34 @@ def work(quotas: DataFrame, languages: DataFrame) -> DataFrame:
     return quotas.where("to_make > 0").crossJoin(F.broadcast(languages)).select("language", "scenario", F.explode(F.sequence(F.lit(1).cast("long"), F.col("to_make"))).alias("number"))
 
 
+def before(rows: DataFrame, by: list[str], order: str, sums: dict[str, Column], cells: int | None = None) -> DataFrame:
+    """Adds, for each of ``sums``, the sum over the rows of the same group that come before by the numeric ``order``.
+
+    A group may hold a large share of all rows, so no task gets a whole one: ``order`` is cut into ranges of about
+    equal numbers of rows, sums of (group, range) are carried on over the ranges, and what is sorted together is one
+    range of one group. Rows with equal ``order`` come in any order among themselves; null comes first.
+    """
+    n = cells or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marks = [i / n for i in range(1, n)]
+    cuts = sorted({float(x) for x in rows.stat.approxQuantile(order, marks, 0.2 / n)}) if marks else []  # n - 1 numbers at most
+    keyed = rows.withColumns({f"_x_{k}": v.cast("long") for k, v in sums.items()} | {"_cell": F.when(F.col(order).isNull(), -1).otherwise(cuts_below(cuts, F.col(order).cast("double")))})
+    per = keyed.groupBy(*by, "_cell").agg(*(F.sum(f"_x_{k}").alias(f"_s_{k}") for k in sums))
+    over = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*(F.col(b).alias(f"_b_{b}") for b in by), F.col("_cell").alias("_c"), *(F.coalesce(F.sum(f"_s_{k}").over(over), F.lit(0)).alias(f"_s_{k}") for k in sums))
+    same = (F.col("_cell") == F.col("_c")) & functools.reduce(Column.__and__, (F.col(b).eqNullSafe(F.col(f"_b_{b}")) for b in by), F.lit(True))
+    here = Window.partitionBy(*by, "_cell").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    joined = keyed.join(per, same)
+    return joined.select(*rows.columns, *((F.col(f"_s_{k}") + F.coalesce(F.sum(f"_x_{k}").over(here), F.lit(0))).alias(k) for k in sums))
+
+
 def rotate(rows: DataFrame, by: list[str], order: str, n: int, name: str) -> DataFrame:
     """Adds the ordinal within each group modulo n."""
-    return rows.withColumn(name, ((F.row_number().over(Window.partitionBy(*by).orderBy(order)) - 1) % n).cast("int"))
+    return before(rows, by, order, {"_ordinal": F.lit(1)}).withColumn(name, (F.col("_ordinal") % n).cast("int")).drop("_ordinal")
 
 
 def length_bias(rows: DataFrame, by: list[str], order: str, turns: str, short: int = 5) -> DataFrame:
     """Adds ``bias``: what length the next conversation should have, from the share of short ones so far."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    few = F.coalesce(F.sum((F.col(turns) <= short).cast("long")).over(w), F.lit(0))
-    n = F.count("*").over(w)
-    rows = rows.withColumns({"short_before": few, "seen_before": n})
+    rows = before(rows, by, order, {"short_before": F.coalesce((F.col(turns) <= short).cast("long"), F.lit(0)), "seen_before": F.lit(1)})
     share = F.col("short_before") / F.col("seen_before")
     return rows.withColumn("bias", F.when(F.col("seen_before") < 3, "none").when(share > 0.6, "long").when(share < 0.4, "short").otherwise("balanced"))
 
@@ -120,3 +140,14 @@ def usage_extremes(counts: DataFrame, names: DataFrame, most_over: int = 8, most
 def usage_counts(items: DataFrame) -> DataFrame:
     """How often each food id is added, each conversation counting once: id, uses."""
     return items.select("conv_id", "id").distinct().groupBy("id").agg(F.count("*").alias("uses"))
+
+
+def with_samples(rows: DataFrame, by: list[str], good: str, key: str, most: int = 5) -> DataFrame:
+    """Counts of rows that are valid and not, and the first few keys of those that aren't: by, valid, invalid, samples.
+
+    The rank's limit is applied in each task before the shuffle, so a group of any size gives a few rows a task.
+    """
+    counts = rows.groupBy(*by).agg(F.count_if(F.col(good)).alias("valid"), F.count_if(~F.col(good)).alias("invalid"))
+    ranked = rows.where(~F.col(good)).select(*by, key).withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(key))).where(F.col("_r") <= most)
+    some = ranked.groupBy(*by).agg(F.array_sort(F.collect_list(key)).alias("samples"))
+    return counts.join(some, by, "left").withColumn("samples", F.coalesce("samples", F.array().cast(some.schema["samples"].dataType)))

@@ -47,7 +47,7 @@ def prepare(calls: DataFrame, foods: DataFrame) -> DataFrame:
     asked = parsed.select("conv_id", "lang", "seq", F.explode("a.queries").alias("query"))
     kinds = asked.select("lang", "query").distinct()
     names = foods.select(F.col("lang").alias("food_lang"), "id", F.lower("name").alias("food_name"))
-    hits = kinds.join(F.broadcast(names), (F.col("lang") == F.col("food_lang")) & F.contains("food_name", F.lower("query")))
+    hits = kinds.join(names, (F.col("lang") == F.col("food_lang")) & F.contains("food_name", F.lower("query")))
     hits = hits.groupBy("lang", "query").agg(F.array_sort(F.collect_set("id")).alias("ids"))
     found = asked.join(hits, ["lang", "query"]).groupBy("conv_id", "seq").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("found"))
     items = parsed.select("conv_id", "lang", "seq", F.posexplode("a.items").alias("pos", "item")).select("conv_id", "lang", "seq", "pos", "item.*")
@@ -60,7 +60,7 @@ def prepare(calls: DataFrame, foods: DataFrame) -> DataFrame:
         F.when(F.col("has_pieces_mode"), F.col("standard_quantity_pcs")).alias("p"),
     )
     carbs = item_carbs(F.col("quantity"), F.col("unit"), F.col("food_carbs"), F.col("g"), F.col("p"))
-    priced = items.join(F.broadcast(dim), ["lang", "food_id"], "left").withColumn("carbs", carbs)
+    priced = items.join(dim, ["lang", "food_id"], "left").withColumn("carbs", carbs)
     priced = priced.groupBy("conv_id", "seq").agg(F.array_sort(F.collect_list(F.struct("pos", "food_id", "food_name", "quantity", "unit", "carbs"))).alias("items"))
     priced = priced.withColumn("items", F.transform("items", lambda x: F.struct(*(x[c].alias(c) for c in ("food_id", "food_name", "quantity", "unit", "carbs")))))
     full = parsed.join(found, ["conv_id", "seq"], "left").join(priced, ["conv_id", "seq"], "left")

@@ -81,7 +81,7 @@ def unit_errors(items: DataFrame, foods: DataFrame) -> DataFrame:
     dim = foods.select("id", F.col("name").alias("food"), "has_grams_mode", "has_pieces_mode")
     weighed = F.col("unit").isin(*fixed.WEIGHED) & ~F.col("has_grams_mode")
     counted = F.col("unit").isin(*fixed.COUNTED) & ~F.col("has_pieces_mode")
-    rows = items.join(F.broadcast(dim), "id").where((F.col("has_grams_mode") | F.col("has_pieces_mode")) & (weighed | counted))
+    rows = items.join(dim, "id").where((F.col("has_grams_mode") | F.col("has_pieces_mode")) & (weighed | counted))
     text = F.concat(F.lit("food_id "), F.col("id"), F.lit(" ("), F.col("food"), F.lit("): unit '"), F.col("unit"), F.when(weighed, "' used but food has no grams/ml mode").otherwise("' used but food has no piece mode"))
     return rows.withColumn("error", text)
 

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialoom.functions.exact import let
+
 # Patterns of what is trained, an assistant's turn with its end marker, on one line unless ``dotall``.
 CHATML = r"<\|im_start\|>assistant\n(.*?(?:<\|tool_call_start\|>.*?<\|tool_call_end\|>)?.*?<\|im_end\|>)"
 GEMMA = r"<\|turn>model\n(.*?<turn\|>)"
@@ -42,7 +44,7 @@ def covered(offsets: Column, inside: Column) -> Column:
 
 def labels(ids: Column, offsets: Column, inside: Column) -> Column:
     """Ids of covered tokens, ``IGNORED`` for others."""
-    return F.zip_with(ids, covered(offsets, inside), lambda i, c: F.when(c, i).otherwise(IGNORED))
+    return let(inside, lambda spans_: F.zip_with(ids, covered(offsets, spans_), lambda i, c: F.when(c, i).otherwise(IGNORED)))
 
 
 def char_tokens(text: Column) -> tuple[Column, Column]:

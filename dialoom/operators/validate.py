@@ -63,7 +63,7 @@ def errors(conversations: DataFrame, foods: DataFrame, pool: DataFrame) -> DataF
     unknown = rules.unknown_ids(items.drop("unit"), rules.context_ids(turns).unionByName(rules.searched_ids(turns)))
     dim = foods.select("lang", "id", "name", "has_grams_mode", "has_pieces_mode")
     langs = conversations.select("conv_id", F.col("language").alias("lang"))
-    by_lang = items.join(langs, "conv_id").join(F.broadcast(dim.withColumnRenamed("name", "food")), ["lang", "id"])
+    by_lang = items.join(langs, "conv_id").join(dim.withColumnRenamed("name", "food"), ["lang", "id"])
     weighed = F.col("unit").isin(*fixed.WEIGHED) & ~F.col("has_grams_mode")
     counted = F.col("unit").isin(*fixed.COUNTED) & ~F.col("has_pieces_mode")
     units = by_lang.where((F.col("has_grams_mode") | F.col("has_pieces_mode")) & (weighed | counted))

@@ -87,7 +87,7 @@ def role_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clarifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that ask back and don't call a tool, with question marks and calls put in by id."""
-    text = F.concat(F.substring("text", 1, 40), F.when(F.col("doc_id") % 3 == 0, "?").otherwise("."), F.when(F.col("doc_id") % 5 == 0, ' add({"a": 1})').when(F.col("doc_id") % 7 == 0, "<|tool_call_start|>add()<|tool_call_end|>").otherwise(""))
+    text = F.concat(F.coalesce("text", F.lit("")), F.when(F.col("doc_id") % 3 == 0, "?").otherwise("."), F.when(F.col("doc_id") % 5 == 0, ' add({"a": 1})').when(F.col("doc_id") % 7 == 0, "<|tool_call_start|>add()<|tool_call_end|>").otherwise(""))
     return table(spark, sf_dir, "documents").select("doc_id", scoring.is_clarification(text).alias("asks"))
 
 
@@ -132,6 +132,8 @@ ORACLE_SQL = {
         WITH p AS (SELECT user_id AS conv_id, event_id AS turn, unnest([event_type, 'n_' || event_id % 3]) AS placeholder FROM events WHERE event_type <> 'error')
         SELECT *, 'Turn ' || turn || ': unreplaced placeholder {{' || placeholder || '}}' AS error FROM p""",
     "role_check": "SELECT role, role IN ('user', 'assistant', 'tool') AS known, count(*) AS n FROM conversations GROUP BY ALL",
-    "clarifications": "SELECT doc_id, (doc_id % 3 = 0 OR contains(substr(text, 1, 40), '?')) AND doc_id % 5 <> 0 AND doc_id % 7 <> 0 AS asks FROM documents",
+    "clarifications": r"""
+        SELECT doc_id, (doc_id % 3 = 0 OR contains(coalesce(text, ''), '?')) AND doc_id % 5 <> 0 AND doc_id % 7 <> 0 AND NOT regexp_matches(coalesce(text, ''), '(?s)[\pL\pM\pN_]\(\{.*?\}\)')
+               AND NOT regexp_matches(coalesce(text, ''), '(?s)<\|tool_call_start\|>.*?<\|tool_call_end\|>') AS asks FROM documents""",
     "bos_check": "SELECT role, count(*) FILTER (turn % 2 = 0) AS marked, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY role",
 }

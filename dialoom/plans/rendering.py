@@ -55,9 +55,11 @@ def mask_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained tokens of each conversation, with a token for each character, over all lines."""
     rows = _rendered(spark, sf_dir, "gemma")
     ids, offsets = spans.char_tokens(F.col("text"))
-    shown = rows.select("conv_id", "text", ids.alias("ids"), offsets.alias("offsets")).withColumn("labels", spans.labels(F.col("ids"), F.col("offsets"), spans.spans(F.col("text"), "gemma", dotall=True)))
-    kept = F.filter("labels", lambda x: x != spans.IGNORED)
-    return shown.select("conv_id", F.size("ids").alias("tokens"), F.size(kept).alias("trained"), F.aggregate(kept, F.lit(0).cast("long"), lambda a, x: a + x).alias("sum_ids"))
+    labels = spans.labels(ids, offsets, spans.spans(F.col("text"), "gemma", dotall=True))
+    kept = F.filter(labels, lambda x: x != spans.IGNORED)
+    digest = lambda k: F.struct(F.size(k).alias("trained"), F.aggregate(k, F.lit(0).cast("long"), lambda a, x: a + x).alias("sum_ids"))
+    # a generator's input is evaluated once, where fields of a struct column may be taken from it anew
+    return rows.select("conv_id", F.length("text").alias("tokens"), F.inline(F.transform(F.array(kept), digest)))
 
 
 QUERIES = {f.__name__: f for f in (render_chatml, render_gemma, parse_turns, parse_gemma_turns, simple_turns, tool_call_parse, assistant_spans, mask_labels)}

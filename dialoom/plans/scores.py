@@ -51,7 +51,7 @@ def settings_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers by segment whose stated settings are verified, mismatched, unverifiable or inconsistent, with totals."""
     pool = settings(spark)
     idx = F.when((F.col("o_custkey") % 4 == 0) & (F.col("o_orderkey") % 3 == 0), F.col("o_orderkey") % 5).otherwise(F.col("o_custkey") % 5).cast("int")
-    rows = table(spark, sf_dir, "orders").where("o_custkey % 13 <> 5").select(F.col("o_custkey").alias("conv_id"), idx.alias("idx")).join(F.broadcast(pool), "idx")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("conv_id"), idx.alias("idx")).join(F.broadcast(pool), "idx")
     results = rows.select("conv_id", "threshold", "baseline", "divisor", F.lit(None).cast("string").alias("meal_time"), F.lit(None).cast("int").alias("meal_divider"))
     inferred = audit.matching_settings(results, pool)
     stated = F.when(F.col("c_custkey") % 6 == 1, F.lit(None)).otherwise(F.col("c_custkey") % 5).cast("int")
@@ -108,7 +108,7 @@ ORACLE_SQL = {
         SELECT count(got) AS stated, count(*) FILTER (abs(got - want) <= 0.01::DOUBLE * greatest(abs(got), abs(want))) AS close FROM r""",
     "settings_audit": f"""
         WITH {POOL_SQL},
-        o AS (SELECT o_custkey AS conv_id, CASE WHEN o_custkey % 4 = 0 AND o_orderkey % 3 = 0 THEN o_orderkey % 5 ELSE o_custkey % 5 END AS idx FROM orders WHERE o_custkey % 13 <> 5),
+        o AS (SELECT o_custkey AS conv_id, CASE WHEN o_custkey % 4 = 0 AND o_orderkey % 3 = 0 THEN o_orderkey % 5 ELSE o_custkey % 5 END AS idx FROM orders),
         i AS (SELECT conv_id, count(*) AS n, CASE WHEN min(idx) = max(idx) THEN min(idx) END AS inferred FROM o GROUP BY 1),
         c AS (SELECT c_mktsegment AS file, CASE WHEN n IS NULL THEN 'unverifiable' WHEN inferred IS NULL THEN 'inconsistent' WHEN inferred = CASE WHEN c_custkey % 6 = 1 THEN 0 ELSE c_custkey % 5 END THEN 'verified' ELSE 'mismatched' END AS class
               FROM customer LEFT JOIN i ON conv_id = c_custkey)

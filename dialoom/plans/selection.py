@@ -35,7 +35,7 @@ def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quota_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many conversations of each scenario are missing from 800."""
     names = F.array(*map(F.lit, fixed.SCENARIOS))
-    have = table(spark, sf_dir, "conversations").where("turn = 0 AND conv_id % 3 = 0").select(F.element_at(names, (F.pmod("conv_id", F.lit(12)) + 1).cast("int")).alias("scenario"))
+    have = table(spark, sf_dir, "conversations").where("turn = 0").select(F.element_at(names, (F.pmod("conv_id", F.lit(12)) + 1).cast("int")).alias("scenario"))
     return assembly.quota(spark, 800, have).select("scenario", "target", "existing", "to_make")
 
 
@@ -77,8 +77,7 @@ def first_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid and invalid conversations by number of turns, with up to five invalid ones each."""
     per = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("turns"), F.max(F.length("text")).alias("longest"))
     rows = per.withColumn("valid", F.col("longest") <= 1200)
-    some = F.slice(F.array_sort(F.collect_list(F.when(~F.col("valid"), F.col("conv_id")))), 1, 5)
-    return rows.groupBy("turns").agg(F.count_if(F.col("valid")).alias("valid"), F.count_if(~F.col("valid")).alias("invalid"), F.array_join(some.cast("array<string>"), ",").alias("samples"))
+    return assembly.with_samples(rows, ["turns"], "valid", "conv_id").withColumn("samples", F.array_join(F.col("samples").cast("array<string>"), ","))
 
 
 QUERIES = {f.__name__: f for f in (user_hash_dedup, resume_anti_join, stratified_split, quota_distribution, quota_even, settings_rotation, length_bias, hash_sample, usage_extremes, first_samples)}
@@ -95,7 +94,7 @@ ORACLE_SQL = {
                <= floor(count(*) OVER (PARTITION BY lang, source) * 0.9::DOUBLE) THEN 'train' ELSE 'eval' END AS split FROM documents""",
     "quota_distribution": f"""
         WITH d(i, scenario, w) AS (VALUES {_DIM}),
-        h AS (SELECT list_value({_NAMES})[CAST(conv_id % 12 AS BIGINT) + 1] AS scenario, count(*) AS existing FROM conversations WHERE turn = 0 AND conv_id % 3 = 0 GROUP BY 1),
+        h AS (SELECT list_value({_NAMES})[CAST(conv_id % 12 AS BIGINT) + 1] AS scenario, count(*) AS existing FROM conversations WHERE turn = 0 GROUP BY 1),
         r AS (SELECT *, CAST(round_even(800 * w, 0) AS BIGINT) AS rounded FROM d),
         t AS (SELECT scenario, CASE WHEN i = 11 THEN 800 - (SELECT sum(rounded) FROM r WHERE i < 11) ELSE rounded END AS target FROM r)
         SELECT scenario, CAST(target AS BIGINT) AS target, coalesce(existing, 0) AS existing, CAST(greatest(0, target - coalesce(existing, 0)) AS BIGINT) AS to_make FROM t LEFT JOIN h USING (scenario)""",

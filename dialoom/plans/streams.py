@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialoom import folders
 from dialoom.plans.tables import table
 from dialoom.streaming import streams
 
-FALLBACK = "/tmp/dialoom-streams"
-
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    return folders.own(spark, "stream")
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:

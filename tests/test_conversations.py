@@ -197,3 +197,29 @@ def test_sinks(spark, convs, tmp_path):
 def test_environments():
     assert config.environment({"COLAB_GPU": "1"}) == "colab" and config.environment({}) == "local"
     assert config.JobConfig.of("kaggle").data.startswith("/kaggle")
+
+
+def test_running_sums_equal_a_plain_loop(spark):
+    import random
+
+    r = random.Random(3)
+    rows = [(i, r.choice(["a", "a", "a", "b", None]), r.randint(0, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "k long, g string, v int")
+    seen: dict = {}
+    want = {}
+    for k, g, v in rows:
+        want[k] = tuple(seen.get(g, (0, 0)))
+        n, s = seen.get(g, (0, 0))
+        seen[g] = (n + 1, s + v)
+    for cells in (1, 7, 50):
+        got = assembly.before(df, ["g"], "k", {"n": F.lit(1), "s": F.col("v")}, cells)
+        assert got.columns == ["k", "g", "v", "n", "s"]
+        assert {x["k"]: (x["n"], x["s"]) for x in got.collect()} == want
+    assert assembly.before(df.limit(0), ["g"], "k", {"n": F.lit(1)}).count() == 0
+
+
+def test_samples_are_the_least_keys(spark):
+    df = spark.createDataFrame([(i, i % 3, i % 5 != 0) for i in range(100)], "k long, g long, ok boolean")
+    for x in assembly.with_samples(df, ["g"], "ok", "k", 4).collect():
+        bad = [i for i in range(100) if i % 3 == x["g"] and i % 5 == 0]
+        assert (x["invalid"], x["samples"]) == (len(bad), bad[:4])
