@@ -2,24 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FALLBACK_DIR = "/tmp/dialoom-shared"
+from dialoom import folders
+
 #: Bytes of a Parquet row group, which a writer holds in memory.
 GROUP_BYTES = 16 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session, else (tests) our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return (found or FALLBACK_DIR).rstrip("/")
-
-
 class Scratch:
     """Intermediate tables of one query, written as Parquet below the shared folder.
 
@@ -29,8 +20,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/dialoom-{tag}-{uuid.uuid4().hex[:12]}"
-        atexit.register(self._remove, self.root)
+        self.root = folders.own(spark, tag)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -41,13 +31,7 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            self._remove(self.path(name))
-
-    def _remove(self, path: str) -> None:
-        with contextlib.suppress(Exception):
-            sc = self.spark.sparkContext
-            target = sc._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+            folders.remove(self.spark, self.path(name))
 
 
 def partitions(spark: SparkSession) -> int:
@@ -60,19 +44,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def components(scratch: Scratch, edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
+def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(id, comp)``; comp is the smallest id reachable.
 
     Each round, every node joins its neighbour that is smallest under an order drawn anew, and the
-    graph is contracted, which shrinks any graph by a constant factor on average. Counts are
-    aggregated before shuffling, so a node with very many neighbours is no burden.
+    graph is contracted: the node that is smallest of all vanishes into no other, while its neighbours do, so each
+    round takes at least a node away from every component and the rounds end; on average they take a constant share.
+    Minima are aggregated before shuffling, so a node with very many neighbours is no burden.
     """
     e = scratch.save(edges.select("a", "b").where("a <> b").distinct(), f"{name}-e0")
     nodes = e.select(F.col("a").alias("id")).union(e.select("b"))
     labels = scratch.save(nodes.distinct().withColumn("lab", F.col("id")), f"{name}-l0")
-    for r in range(1, most_rounds + 1):
-        if e.isEmpty():
-            break
+    r = 0
+    while not e.isEmpty():
+        r += 1
         both = e.union(e.select("b", "a"))
         rank = F.struct(F.xxhash64(F.col("b"), F.lit(r)).alias("h"), F.col("b").alias("v"))
         own = F.struct(F.xxhash64(F.col("a"), F.lit(r)).alias("h"), F.col("a").alias("v"))
@@ -86,7 +71,5 @@ def components(scratch: Scratch, edges: DataFrame, name: str, most_rounds: int =
         labels = scratch.save(moved, f"{name}-l{r}")
         scratch.drop(f"{name}-e{r - 1}", f"{name}-l{r - 1}", f"{name}-m{r}")
         e = e2
-    else:
-        raise RuntimeError("components did not settle")
     least = labels.groupBy("lab").agg(F.min("id").alias("comp"))
     return scratch.save(labels.join(least, "lab").select("id", "comp"), f"{name}-out")

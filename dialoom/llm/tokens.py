@@ -2,8 +2,8 @@
 
 The pre-tokenizers used here never join characters over the start of a run of white space, nor an ASCII
 letter or digit with ASCII punctuation after it (the apostrophe aside). A text is cut at these places, and its
-ids are those of its pieces. Each distinct piece, known by a 64-bit hash of its bytes, is encoded once by the
-library and kept as an entry of a few dozen bytes; the store starts anew when it is full. A text with other
+ids are those of its pieces. Each distinct piece is encoded once by the library and kept with its bytes; it is found by a
+64-bit hash and then compared byte by byte, and pieces whose hash another has are kept beside. The store starts anew when it is full. A text with other
 white space than ASCII's is one piece, as a run could be cut within, and so is one that holds the string of an
 added token ('<|endoftext|>'), which the library gives that token's id.
 """
@@ -17,10 +17,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from dialoom.llm.wordhash import SPACE, buffer, span_hashes
+from dialoom.llm.wordhash import SPACE, at_eight, buffer, eights, span_hashes
 
-#: Pieces and ids kept by a process: about 20 bytes for a piece and 4 for an id.
-MOST_PIECES, MOST_IDS = 1_200_000, 8_000_000
+#: Pieces, ids and bytes of pieces kept by a process: about 28 bytes for a piece, 4 for an id.
+MOST_PIECES, MOST_IDS, MOST_BYTES = 1_200_000, 8_000_000, 24_000_000
 
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
@@ -70,30 +70,57 @@ class Encoder:
         self.size = np.zeros(1 << 14, np.int32)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
-
-    def _add(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        """Encode new pieces, whose hashes ascend."""
+        self.count = 0  # pieces in all
+        self.text = np.zeros(1 << 16, np.uint8)  # their bytes, and where each piece's begin and end
+        self.text_at = np.zeros(1 << 14, np.int64)
+        self.text_to = np.zeros(1 << 14, np.int64)
+        self.odd: dict[bytes, int] = {}  # places of pieces whose hash another piece has
+
+    def _add(self, pieces: list[bytes]) -> int:
+        """Encode new pieces; returns the first one's place."""
+        first = self.count
         for i in range(0, len(pieces), 20_000):
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[i : i + 20_000], add_special_tokens=False)]
+            some = pieces[i : i + 20_000]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            total, n = int(sizes.sum()), len(self.known) + i
+            total, n = int(sizes.sum()), self.count
             if self.used + total > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat) // 2, total), np.uint32)])
             if n + len(ids) > len(self.begin):
                 more = max(len(self.begin) // 2, len(ids))
-                self.begin, self.size = (np.concatenate([x, np.zeros(more, np.int32)]) for x in (self.begin, self.size))
+                self.begin, self.size, self.text_at, self.text_to = (np.concatenate([x, np.zeros(more, x.dtype)]) for x in (self.begin, self.size, self.text_at, self.text_to))
+            raw = np.frombuffer(b"".join(some), np.uint8)
+            chars = np.fromiter(map(len, some), np.int64, len(some))
+            held = int(self.text_to[n - 1]) if n else 0
+            if held + len(raw) > len(self.text):
+                self.text = np.concatenate([self.text, np.zeros(max(len(self.text) // 2, len(raw)), np.uint8)])
+            self.text[held : held + len(raw)] = raw
+            self.text_to[n : n + len(some)] = held + np.cumsum(chars)
+            self.text_at[n : n + len(some)] = held + np.cumsum(chars) - chars
             self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
             self.begin[n : n + len(ids)] = self.used + np.cumsum(sizes) - sizes
             self.size[n : n + len(ids)] = sizes
             self.used += total
-        at = np.searchsorted(self.known, hashes)
-        n = len(self.known)
-        self.known = np.insert(self.known, at, hashes)
-        self.slot = np.insert(self.slot, at, np.arange(n, n + len(hashes), dtype=np.int32))
+            self.count += len(ids)
+        return first
+
+    def _other(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Which pieces aren't, byte by byte, those in their places of the store."""
+        size = stop - start
+        bad = size != self.text_to[slot] - self.text_at[slot]
+        own, held = eights(data), eights(self.text[: int(self.text_to[self.count - 1])])
+        todo, at = np.flatnonzero(~bad), 0
+        while len(todo):
+            left = size[todo] - at
+            wrong = at_eight(own, start[todo] + at, left) != at_eight(held, self.text_at[slot[todo]] + at, left)
+            bad[todo[wrong]] = True
+            at += 8
+            todo = todo[~wrong & (left > 8)]
+        return np.flatnonzero(bad)
 
     def encode(self, texts: pa.Array | list, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by ``end``, and the texts' offsets in them. Null is empty."""
-        if len(self.known) > MOST_PIECES or self.used > MOST_IDS:
+        if self.count > MOST_PIECES or self.used > MOST_IDS or (self.count and self.text_to[self.count - 1] > MOST_BYTES):
             self.clear()
         data, off = buffer(texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string()))
         n = len(data)
@@ -116,9 +143,18 @@ class Encoder:
         if new.any():
             raw = data.tobytes()
             which = one[new]
-            self._add(kinds[new], [raw[a:b].decode() for a, b in zip(start[which].tolist(), stop[which].tolist(), strict=True)])
+            first = self._add([raw[a:b] for a, b in zip(start[which].tolist(), stop[which].tolist(), strict=True)])
+            into = np.searchsorted(self.known, kinds[new])
+            self.known = np.insert(self.known, into, kinds[new])
+            self.slot = np.insert(self.slot, into, np.arange(first, first + len(which), dtype=np.int32))
             at = np.searchsorted(self.known, kinds)
         slot = self.slot[at][of] if len(kinds) else np.zeros(0, np.int32)
+        if len(slot):
+            for i in self._other(data, start, stop, slot).tolist():
+                piece = data[start[i] : stop[i]].tobytes()
+                if piece not in self.odd:
+                    self.odd[piece] = self._add([piece])
+                slot[i] = self.odd[piece]
         size = self.size[slot].astype(np.int64)
         ends = np.concatenate([[0], np.cumsum(size)])
         bound = np.searchsorted(start, off)

@@ -1,8 +1,8 @@
 """Words and shingles of Arrow text columns, hashed with numpy straight from the UTF-8 buffers.
 
-Words are maximal runs of bytes other than space and 0x09-0x0D, with A-Z lower-cased. A word's hash is a
-64-bit polynomial over its bytes, taken from prefix sums, and then mixed. Work goes in windows of about
-WINDOW bytes that end between words, so memory doesn't depend on the size of a batch.
+Words are maximal runs of bytes other than space and 0x09-0x0D, with A-Z lower-cased. A word's bytes are taken
+eight at a time, each followed by a non-linear mixing of 64 bits; words of up to seven bytes have hashes of their
+own, as every step is one to one. Words longer than LONG are hashed by xxh3.
 """
 
 from __future__ import annotations
@@ -14,33 +14,33 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
-WINDOW = 1 << 20
-
-pa.set_memory_pool(pa.system_memory_pool())  # gives freed memory back, which the default pool keeps
-with contextlib.suppress(Exception):  # so does the C library with large blocks, once their least size is fixed
-    ctypes.CDLL(None).mallopt(-3, 1 << 20)
-_P = 0x9E3779B97F4A7C15 | 1
-_Q = pow(_P, -1, 1 << 64)
+#: Bytes of the longest word that is hashed with all others, eight bytes at a time.
+LONG = 64
+#: Words hashed at a time.
+CHUNK = 1 << 18
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-_powers: list[np.ndarray] = []
+_frugal = False
+
 
+def frugal() -> None:
+    """In a worker of Spark's: have freed memory given back, which Arrow's default pool and the C library keep."""
+    global _frugal
+    if _frugal:
+        return
+    from pyspark import TaskContext
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """P**i and P**-i modulo 2**64 for i < n."""
-    if not _powers or len(_powers[0]) < n:
-        n = max(n, WINDOW * 2)
-        _powers[:] = []
-        for base in (_P, _Q):
-            a = np.full(n, base, dtype=np.uint64)
-            a[0] = 1
-            _powers.append(np.multiply.accumulate(a))
-    return _powers[0], _powers[1]
+    if TaskContext.get() is not None:
+        pa.set_memory_pool(pa.system_memory_pool())
+        with contextlib.suppress(Exception):  # the C library does once the least size of large blocks is fixed
+            ctypes.CDLL(None).mallopt(-3, 1 << 20)
+        _frugal = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -52,19 +52,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each place, as rows; zeros follow the last."""
+    return np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+
+
+def at_eight(rows: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The bytes at each place as a number, without those beyond the ``left`` ones."""
+    return rows[at].view("<u8").ravel() & _KEEP[np.minimum(left, 8)]
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of ascending byte spans that don't overlap."""
+    """Hashes of byte spans, by their bytes alone."""
     hashes = np.empty(len(start), dtype=np.uint64)
-    i = 0
-    while i < len(start):
-        j = max(i + 1, int(np.searchsorted(end, start[i] + WINDOW, "right")))
-        a, b = int(start[i]), int(end[j - 1])
-        up, down = powers(b - a)
-        sums = np.zeros(b - a + 1, dtype=np.uint64)
-        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * up[: b - a], out=sums[1:])
-        s, e = start[i:j] - a, end[i:j] - a
-        hashes[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
-        i = j
+    rows = eights(data)
+    for i in range(0, len(start), CHUNK):
+        s, size = start[i : i + CHUNK], (end[i : i + CHUNK] - start[i : i + CHUNK]).astype(np.int64)
+        h = mix(at_eight(rows, s, size) ^ (np.minimum(size, 255).astype(np.uint64) << np.uint64(56)))
+        more = np.flatnonzero((size > 8) & (size <= LONG))
+        at = 8
+        while len(more):
+            h[more] = mix(h[more] * np.uint64(0x9E3779B97F4A7C15) ^ at_eight(rows, s[more] + at, size[more] - at))
+            at += 8
+            more = more[size[more] > at]
+        for k in np.flatnonzero(size > LONG).tolist():
+            h[k] = xxhash.xxh3_64_intdigest(memoryview(np.ascontiguousarray(data[s[k] : s[k] + size[k]])))
+        hashes[i : i + CHUNK] = h
     return hashes
 
 
@@ -134,6 +150,7 @@ def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def parts(batch: pa.RecordBatch, column: str, most_bytes: int = 3 << 20):
     """Slices of a batch that hold about ``most_bytes`` of text each, at least a row."""
+    frugal()
     texts = batch.column(column)
     if not len(texts):
         return

@@ -1,3 +1,4 @@
+import functools
 import zlib
 from collections import defaultdict
 
@@ -13,26 +14,50 @@ from tokenizers import Tokenizer
 from dialoom.llm import ans, hilbert, packing, tokens
 
 WORD, BYTE = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+
+
+@functools.cache
+def library(path):
+    """The library's tokenizer as its file gives it, apart from the one under test."""
+    return Tokenizer.from_file(path)
+
+
 ODD = ["a  b", "a   b\n\n c", "\t x   y\x1cz ", "<|endoftext|> hi<|endoftext|>", "don't WE'll  12345 ½²  …!!\n\n\n", "", None, "é é  İx", "a\x85b\u2003 \u3000c", " ", "\n", "x ", "a,b;c.'s %.% _x_", "e\u0301,\u0338"]
 
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_ids_equal_the_library(path):
-    e = tokens.Encoder(path)
+    e, fresh = tokens.Encoder(path), Tokenizer.from_file(path)
     texts = ODD + [prose(i, 60) for i in range(20)]
     for _ in range(2):  # the second time from the store
         ids, off = e.encode(texts, 2)
         for i, t in enumerate(texts):
-            assert ids[off[i] : off[i + 1]].tolist() == [*e.tokenizer.encode(t or "", add_special_tokens=False).ids, 2], t
+            assert ids[off[i] : off[i + 1]].tolist() == [*fresh.encode(t or "", add_special_tokens=False).ids, 2], t
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_pieces_of_one_hash_keep_their_own_ids(path, monkeypatch):
+    from test_joins import thue_morse
+
+    texts = [*thue_morse("ab", 10), "the sea the sand", "sea  the; the, x1y", None, "", "sand"] + [prose(i, 30) for i in range(5)]
+    fresh = Tokenizer.from_file(path)
+    want = [[*fresh.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    for hashes in (None, lambda data, start, end: np.zeros(len(start), np.uint64), lambda data, start, end: ((end - start) % 3).astype(np.uint64)):
+        if hashes:
+            monkeypatch.setattr(tokens, "span_hashes", hashes)
+        e = tokens.Encoder(path)
+        for _ in range(2):
+            ids, off = e.encode(texts, 2)
+            assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == want
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet="ab,'. \n\t\u00a0\u2003é1!s", max_size=12), max_size=5))
 def test_ids_of_any_text(texts):
     for path in (WORD, BYTE):
-        e = tokens.Encoder.of(path)
+        e, fresh = tokens.Encoder.of(path), library(path)
         ids, off = e.encode(texts, 2)
-        want = [[*e.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        want = [[*fresh.encode(t, add_special_tokens=False).ids, 2] for t in texts]
         assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == want
 
 
@@ -83,7 +108,7 @@ def test_blocks_decode_from_checkpoints_and_refuse_damage(monkeypatch):
 def test_token_files_equal_the_library(spark):
     docs = documents(spark)
     got = sorted((tuple(r) for r in ans.round_trip(spark, docs, ans.Plan(WORD)).select("doc_id", "n_tokens", "ids_crc32", "start").collect()), key=lambda r: r[3])
-    e = tokens.Encoder.of(WORD).tokenizer
+    e = library(WORD)
     want = []
     for r in docs.collect():
         ids = [*e.encode(r["text"] or "", add_special_tokens=False).ids, 2]
@@ -99,7 +124,7 @@ def test_packing_is_whole_and_gapless(spark):
     docs = documents(spark)
     plan = packing.Plan(BYTE, block=20)
     rows = packing.packing(spark, docs, plan).collect()
-    e = tokens.Encoder.of(BYTE).tokenizer
+    e = library(BYTE)
     want = []
     for r in docs.collect():
         ids = [*e.encode(r["text"] or "", add_special_tokens=False).ids, 2]

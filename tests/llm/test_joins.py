@@ -88,11 +88,35 @@ def test_words_and_shingles():
     assert off.tolist() == [0, 1, 2, 2, 2, 2, 3, 4] and s[0] == s[1] != s[2]
 
 
-def test_windows_do_not_change_hashes(monkeypatch):
-    texts = pa.array([prose(i, 50) for i in range(20)])
+def test_hashes_are_of_the_bytes_alone(monkeypatch):
+    texts = pa.array([*(prose(i, 50) for i in range(20)), "a" * 63, "a" * 64, "a" * 65, "b" * 500])
     whole = wordhash.words(texts).hash
-    monkeypatch.setattr(wordhash, "WINDOW", 37)
-    assert (wordhash.words(texts).hash == whole).all()
+    monkeypatch.setattr(wordhash, "CHUNK", 7)
+    w = wordhash.words(texts)
+    assert (w.hash == whole).all()
+    by = {}
+    for h, x, y in zip(w.hash.tolist(), w.start, w.end):
+        assert by.setdefault(h, bytes(w.data[x:y])) == bytes(w.data[x:y])
+    alone = [wordhash.words(pa.array([t.decode()])).hash[0] for t in by.values()]
+    assert alone == list(by)
+
+
+def thue_morse(letters, n):
+    """Two words of 2**n letters on which polynomials modulo 2**64 of any odd base agree."""
+    x, y = letters
+    for _ in range(n):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_words_of_one_polynomial_have_their_own_hashes(spark):
+    x, y = thue_morse("ab", 10)
+    assert len(set(wordhash.words(pa.array([f"{x} {y}"])).hash.tolist())) == 2
+    docs = spark.createDataFrame([(1, x), (2, y), (3, x)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.join(spark, docs, ngram_join.Rule(3, 90, 100)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+    own = {r["doc_id"]: r["fingerprint"] for r in fingerprint.fingerprints(spark, docs).collect()}
+    assert own[1] == own[3] != own[2]
 
 
 def test_sketches_merge_and_estimate():
