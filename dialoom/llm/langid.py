@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dialoom.llm import wordhash
 from dialoom.llm.shared import held_out
@@ -31,13 +32,15 @@ UNKNOWN = "und"
 class Plan:
     #: Longest context in bytes; at most 6.
     order: int = 4
-    #: Most training documents for each language, drawn by a hash of the id, and most bytes taken of each.
+    #: Most training documents for each language, drawn by a hash of id and text; of each the whole text is learned.
     sample: int = 600
-    sample_bytes: int = 6_000
     #: Languages of a block, whose samples are on the driver at once; all are learned.
     languages: int = 64
-    #: Bits by which a code must be shorter for the odds to double; scores are softened by it.
-    temper: float = 8.0
+    #: Bits, times the root of the number of words, by which a code must be shorter for the odds to double: the
+    #: difference of two codes varies with the root of the length, so the score says as much of long texts as of short ones.
+    temper: float = 3.0
+#: Bytes of training texts that are counted at a time.
+_COUNTED = 1 << 20
 
 
 def _stream(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,11 +67,7 @@ class Model:
     @classmethod
     def fit(cls, texts: dict[str, list[str]], order: int) -> Model:
         m = cls(order, sorted(texts))
-        counts = []  # by language, by order
-        for lang in m.langs:
-            w = wordhash.words(pa.array(texts[lang], pa.large_string()))
-            buf, _, known = _stream(w.data, w.start, w.end)
-            counts.append([np.unique(m._codes(buf, o)[known >= o], return_counts=True) for o in range(order + 1)])
+        counts = [m._counted(texts[lang]) for lang in m.langs]  # by language, by order
         uniform = np.full((1, len(m.langs)), 8.0, np.float32)
         for o in range(order + 1):
             grams = np.unique(np.concatenate([c[o][0] for c in counts])) if counts else np.zeros(0, np.uint64)
@@ -95,6 +94,23 @@ class Model:
             m.escape.append(escape)
         return m
 
+    def _counted(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each order, the bytes in their contexts and how often they are, over whole texts, some texts at a time."""
+        total = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(self.order + 1)]
+        i = 0
+        while i < len(texts):
+            j, size = i + 1, len(texts[i])
+            while j < len(texts) and size + len(texts[j]) <= _COUNTED:
+                size, j = size + len(texts[j]), j + 1
+            w = wordhash.words(pa.array(texts[i:j], pa.large_string()))
+            buf, _, known = _stream(w.data, w.start, w.end)
+            for o in range(self.order + 1):
+                codes, n = np.unique(self._codes(buf, o)[known >= o], return_counts=True)
+                both, of = np.unique(np.concatenate([total[o][0], codes]), return_inverse=True)
+                total[o] = (both, np.bincount(of, np.concatenate([total[o][1], n]), len(both)).astype(np.int64))
+            i = j
+        return total
+
     @staticmethod
     def _codes(buf: np.ndarray, o: int) -> np.ndarray:
         """For each coded byte, it and the o bytes before it as one number."""
@@ -150,9 +166,11 @@ class Model:
         w = wordhash.words(texts)
         _, one, of = np.unique(w.hash, return_index=True, return_inverse=True)
         bits = self.word_bits(w.data, w.start[one], w.end[one])
-        sums = np.zeros((len(w.hash) + 1, len(self.langs)))
-        np.cumsum(bits[of], axis=0, out=sums[1:])
-        return sums[w.rows[1:]] - sums[w.rows[:-1]], w
+        out = np.empty((len(w.rows) - 1, len(self.langs)))
+        for k in range(len(self.langs)):  # one language at a time, so that a long text's words are held once
+            sums = np.concatenate([[0.0], np.cumsum(bits[of, k])])
+            out[:, k] = sums[w.rows[1:]] - sums[w.rows[:-1]]
+        return out, w
 
 
 class Blocks(Model):
@@ -190,7 +208,8 @@ def _predict(model: Model, plan: Plan):
                 known = _lettered(texts, w) & (len(model.langs) > 0)
                 best = bits.argmin(axis=1) if len(model.langs) else np.zeros(len(bits), int)
                 least = bits.min(axis=1, keepdims=True) if len(model.langs) else bits
-                score = 1 / np.exp2(-np.minimum((bits - least) / plan.temper, 1000.0)).sum(axis=1) if len(model.langs) else np.zeros(len(bits))
+                scale = plan.temper * np.sqrt(np.maximum(1, np.diff(w.rows)))[:, None]
+                score = 1 / np.exp2(-np.minimum((bits - least) / scale, 1000.0)).sum(axis=1) if len(model.langs) else np.zeros(len(bits))
                 names = [model.langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
                 per = np.where(known, least.ravel() / np.maximum(1, np.diff(w.bytes)), 0.0) if len(model.langs) else np.zeros(len(bits))
                 cols = [pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(per)]
@@ -202,8 +221,9 @@ def _predict(model: Model, plan: Plan):
 def train(docs: DataFrame, plan: Plan = Plan()) -> Model:
     """Fit to the rows of ``docs(doc_id, text, lang)`` whose lang isn't null and that aren't held out.
 
-    At most about ``sample`` documents of each language are drawn by a hash of the id, of them at most
-    ``sample_bytes`` characters, for ``languages`` of them at a time: that is the bound of the texts on the driver.
+    At most ``sample`` documents of each language are drawn, those with the least hash of id and text, and learned whole,
+    for ``languages`` of them at a time: that is the bound of the rows on the driver. Repeated rows are drawn together,
+    empty texts teach nothing, and a language with empty texts only is never predicted.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     counts = [(r["lang"], r["count"]) for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
@@ -215,12 +235,12 @@ def train(docs: DataFrame, plan: Plan = Plan()) -> Model:
 
 def _fit(rows: DataFrame, counts: dict[str, int], plan: Plan) -> Model:
     """The model of one block of languages, given with their numbers of documents."""
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    most = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 30, int((1 << 30) * plan.sample / n)))))[F.col("lang")]
-    limit = 2 * plan.sample * len(counts)  # twice what is expected; never reached but by chance
-    got = rows.where(F.col("lang").isin(list(counts)) & (drawn < most)).select("lang", F.substring("text", 1, plan.sample_bytes).alias("text")).limit(limit)
+    share = lambda n: min(1 << 30, int((1 << 30) * (1.2 * plan.sample + 50) / n))  # noqa: E731  somewhat more than are taken
+    most = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, share(n))))[F.col("lang")]
+    drawn = rows.withColumn("h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))).where(F.col("lang").isin(list(counts)) & (F.col("h") < most))
+    w = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
     texts: dict[str, list[str]] = {lang: [] for lang in counts}
-    for r in got.toLocalIterator():
+    for r in drawn.withColumn("i", F.row_number().over(w)).where(F.col("i") <= plan.sample).select("lang", "text").toLocalIterator():
         texts[r["lang"]].append(r["text"])
     return Model.fit({lang: t for lang, t in texts.items() if t}, plan.order)
 
@@ -234,7 +254,11 @@ def predict(docs: DataFrame, model: Model, plan: Plan = Plan()) -> DataFrame:
 
 
 def keep(docs: DataFrame, model: Model, plan: Plan = Plan(), least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns kept, whose language is found with a score of at least ``least``."""
+    """The rows of ``docs``, all columns kept, whose language is found with a score of at least ``least``.
+
+    Null and empty texts and those without a letter go, as they have no language; repeated rows are judged alike, and a
+    null doc_id is no reason to go. If nothing was learned, all go.
+    """
     predict_batch = _predict(model, plan)
 
     def run(batches):
