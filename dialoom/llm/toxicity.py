@@ -6,8 +6,8 @@ With prior p of the positive class, the risk of a scorer g is
     p * R_pos(g, +) + max(0, R_unl(g, -) - p * R_pos(g, -)),
 
 R being mean logistic losses. When the second term falls below zero, the step is taken against it instead,
-which keeps the model from explaining the unlabelled positives away. Documents confirmed clean take no part in that; they
-only set the bias. Features say whether a byte n-gram of a
+which keeps the model from explaining the unlabelled positives away. The threshold stands where the same estimate of
+the share of wrong verdicts is least, so documents confirmed clean take no part but in the prior. Features say whether a byte n-gram of a
 word (with the space before it) occurs, or how densely; those that positives have significantly more often are kept. The
 model is linear, trained with numpy's Adam steps over the whole sample, and each distinct word of a batch is
 looked up once.
@@ -29,17 +29,14 @@ from dialoom.llm.shared import held_out
 @dataclass(frozen=True)
 class Plan:
     sizes: tuple[int, ...] = (4, 5, 6)
-    #: Most confirmed toxic and most unlabelled documents, drawn by a hash of id and text, and most characters
-    #: taken of each for training.
+    #: Most confirmed toxic and most unlabelled documents, drawn by a hash of id and text; whole texts are learned.
     positives: int = 1500
     unlabelled: int = 3500
-    #: Most documents confirmed clean, which only set the bias.
-    clean: int = 1500
-    sample_chars: int = 12_000
     features: int = 1024
-    #: Least log-likelihood ratio (G) and least positives of a feature.
+    #: Least log-likelihood ratio (G) of a feature, and the least number and share of different positives that have it.
     least_g: float = 24.0
     least_positives: int = 4
+    least_share: float = 0.01
     steps: int = 300
     rate: float = 0.05
     decay: float = 1e-4
@@ -112,11 +109,22 @@ def _present(texts: pa.Array, sizes, select=None):
         yield k, np.concatenate([rows[x] for x in levels]), np.concatenate([codes[x] | np.uint64(v) for v, x in enumerate(levels)])
 
 
+def _batches(texts: list[str], most: int = 1 << 18):
+    """Texts, some of about as many characters together (or one longer one), with the number of the first."""
+    i = 0
+    while i < len(texts):
+        j, size = i + 1, len(texts[i])
+        while j < len(texts) and size + len(texts[j]) <= most:
+            size, j = size + len(texts[j]), j + 1
+        yield i, pa.array(texts[i:j], pa.large_string())
+        i = j
+
+
 def _document_counts(texts: list[str], sizes) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each size, the n-grams and in how many texts each is."""
     parts: list[list] = [[] for _ in sizes]
-    for i in range(0, len(texts), 100):
-        for k, _, codes in _present(pa.array(texts[i : i + 100], pa.large_string()), sizes):
+    for _, some in _batches(texts):
+        for k, _, codes in _present(some, sizes):
             parts[k].append(np.unique(codes, return_counts=True))
     out = []
     for p in parts:
@@ -131,24 +139,45 @@ def _g(a, n, b, m):
     """Log-likelihood ratio of a of n against b of m having a feature, 0 where the first share isn't larger."""
     part = lambda x, t: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / t), 0.0)
     e = (a + b) / (n + m)
-    g = 2 * (part(a, n * e) + part(n - a, n * (1 - e)) + part(b, m * e) + part(m - b, m * (1 - e)))
+    with np.errstate(all="ignore"):
+        g = 2 * (part(a, n * e) + part(n - a, n * (1 - e)) + part(b, m * e) + part(m - b, m * (1 - e)))
     return np.where(a * m > b * n, g, 0.0)
 
 
-def fit(positive: list[str], unlabelled: list[str], prior: float, plan: Plan = Plan(), clean: list[str] | None = None) -> Model:
+def _sigmoid(z):
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def risk(gp: np.ndarray, gu: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two terms of the estimated logistic risk, of positives and of negatives (before it is kept from falling
+    below zero), from the logits of positives and of unlabelled texts."""
+    return prior * np.logaddexp(0, -gp).mean(), np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+
+
+def slopes(gp: np.ndarray, gu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """What the step follows, by each logit: the slope of the risk, or against that of its second term where that is below zero."""
+    up, down_p, down_u = -(1 - _sigmoid(gp)), _sigmoid(gp), _sigmoid(gu)
+    sp, su = (prior * (up - down_p), down_u) if risk(gp, gu, prior)[1] >= 0 else (prior * down_p, -down_u)
+    return sp / len(gp), su / len(gu)
+
+
+def fit(positive: list[str], unlabelled: list[str], prior: float, plan: Plan = Plan()) -> Model:
     empty = [np.zeros(0, np.uint64) for _ in plan.sizes]
     if not positive or not unlabelled:
         return Model(empty, empty, np.zeros(0), float(np.log(prior / (1 - prior))))
     found = []  # (-g, size number, code)
-    often = [(c[n >= plan.least_positives], n[n >= plan.least_positives]) for c, n in _document_counts(positive, plan.sizes)]
+    # features are chosen among different texts, else what many copies of one have would look telling
+    some_p, some_u = sorted(set(positive)), sorted(set(unlabelled))
+    least = max(plan.least_positives, plan.least_share * len(some_p))
+    often = [(c[n >= least], n[n >= least]) for c, n in _document_counts(some_p, plan.sizes)]
     grams = [np.unique(c >> np.uint64(3)) for c, _ in often]
     others = [np.zeros(8 * len(g), np.int64) for g in grams]
-    for i in range(0, len(unlabelled), 100):  # of unlabelled texts only these n-grams are counted
-        for k, _, at in _present(pa.array(unlabelled[i : i + 100], pa.large_string()), plan.sizes, grams):
+    for _, some in _batches(some_u):  # of unlabelled texts only these n-grams are counted
+        for k, _, at in _present(some, plan.sizes, grams):
             others[k] += np.bincount(at.astype(np.int64), minlength=len(others[k]))
     for k, (codes, a) in enumerate(often):
         b = others[k][8 * np.searchsorted(grams[k], codes >> np.uint64(3)) + (codes & np.uint64(7)).astype(np.int64)]
-        g = _g(a.astype(float), len(positive), b.astype(float), len(unlabelled))
+        g = _g(a.astype(float), len(some_p), b.astype(float), len(some_u))
         keep = g >= plan.least_g
         found += list(zip((-g[keep]).tolist(), [k] * int(keep.sum()), codes[keep].tolist(), strict=True))
     del often, others
@@ -165,42 +194,36 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, plan: Plan = P
     xs = [_matrix(model, t, plan) for t in (positive, unlabelled)]
     w, b = np.zeros(len(found), np.float32), np.float32(np.log(prior / (1 - prior)))
     m = v = np.zeros(len(found) + 1, np.float32)
-    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for t in range(1, plan.steps + 1):
-        gp, gu = (x @ w + b for x in xs)
-        up, down_p, down_u = -(1 - sig(gp)), sig(gp), sig(gu)  # slopes of the losses
-        rest = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        sp, su = (prior * (up - down_p), down_u) if rest >= 0 else (prior * down_p, -down_u)
-        grad = np.append(xs[0].T @ sp / len(gp) + xs[1].T @ su / len(gu) + plan.decay * w, sp.mean() + su.mean()).astype(np.float32)
+        sp, su = (s.astype(np.float32) for s in slopes(*(x @ w + b for x in xs), prior))
+        grad = np.append(xs[0].T @ sp + xs[1].T @ su + plan.decay * w, sp.sum() + su.sum()).astype(np.float32)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         step = plan.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
     # the bias is set so that the threshold stands where it serves best
     limit = float(np.log(plan.threshold / (1 - plan.threshold)))
-    gp, gu = (x @ w + b for x in xs)
-    if clean:  # between confirmed positives and negatives, at the best F1, weighted by the prior
-        over = _best_cut(gp, _matrix(model, clean, plan) @ w + b, prior) - limit
-    else:  # no more of the unlabelled text than the prior is called toxic, unless that costs a tenth of the positives
-        over = max(0.0, min(float(np.quantile(gu, 1 - prior)), float(np.quantile(gp, 0.1))) - limit)
-    model.weight, model.bias = w.astype(float), float(b) - over
+    model.weight, model.bias = w.astype(float), float(b) - (best_cut(*(x @ w + b for x in xs), prior) - limit)
     del xs
     wordhash.trim()
     return model
 
 
-def _best_cut(good: np.ndarray, bad: np.ndarray, prior: float) -> float:
-    """The middle of the first span of cuts with the best F1: ``good`` should lie above, ``bad`` below."""
-    values = np.unique(np.concatenate([good, bad]))
+def best_cut(gp: np.ndarray, gu: np.ndarray, prior: float) -> float:
+    """The cut between logits at which the estimated share of wrong verdicts is least, the highest of equals:
+    prior * missed + max(0, called - prior * caught), with the shares of positives missed and caught and of
+    unlabelled texts called toxic."""
+    values = np.unique(np.concatenate([gp, gu]).astype(float))
     cuts = np.concatenate([[values[0] - 1], (values[1:] + values[:-1]) / 2, [values[-1] + 1]])
-    hit = prior * (1 - np.searchsorted(np.sort(good), cuts) / len(good))
-    false = (1 - prior) * (1 - np.searchsorted(np.sort(bad), cuts) / len(bad))
-    return float(cuts[int(np.argmax(2 * hit / (hit + false + prior)))])
+    caught = 1 - np.searchsorted(np.sort(gp), cuts) / len(gp)
+    called = 1 - np.searchsorted(np.sort(gu), cuts) / len(gu)
+    wrong = prior * (1 - caught) + np.maximum(0, called - prior * caught)
+    return float(cuts[np.flatnonzero(wrong <= wrong.min() + 1e-12)[-1]])
 
 
 def _matrix(model: Model, texts: list[str], plan: Plan) -> np.ndarray:
     x = np.zeros((len(texts), len(model.weight)), np.float32)
-    for i in range(0, len(texts), 500):
-        for rows, at in model.features(pa.array(texts[i : i + 500], pa.large_string()), plan.sizes):
+    for i, some in _batches(texts):
+        for rows, at in model.features(some, plan.sizes):
             x[i + rows, at] = 1
     return x
 
@@ -225,11 +248,12 @@ def _run(model: Model, plan: Plan):
 
 def train(docs: DataFrame, labels: DataFrame, plan: Plan = Plan()) -> Model:
     """Fit to ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``; held-out rows, null ids and null labels
-    take no part. What comes to the driver is bounded by the plan's numbers of documents and characters."""
+    take no part, and of an id's labels toxic wins. What comes to the driver is bounded by the plan's numbers of documents
+    (an id that is given to several documents counts for up to two). The prior is the share of labels that are toxic."""
     own = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total = own.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0)).alias("bad")).first()
     prior = total["bad"] / total["n"] if total["n"] and 0 < total["bad"] < total["n"] else plan.prior
-    texts = docs.where(F.col("text").isNotNull() & ~held_out()).select("doc_id", F.substring("text", 1, plan.sample_chars).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
+    texts = docs.where(F.col("text").isNotNull() & ~held_out()).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"))
     keys = own.where("toxic = 1").select("doc_id")
     # the ids are drawn first, so that labels are joined to few texts
     def of(keys: DataFrame, most: int) -> list[str]:
@@ -237,11 +261,10 @@ def train(docs: DataFrame, labels: DataFrame, plan: Plan = Plan()) -> Model:
         return [r["text"] for r in texts.join(F.broadcast(some), "doc_id").orderBy("h").limit(2 * most).select("text").collect()]
 
     positive = of(keys, plan.positives)
-    clean = of(own.where("toxic = 0").select("doc_id"), plan.clean)
     n = texts.count()
     share = min(1.0, 1.1 * plan.unlabelled / n) if n else 1.0
     drawn = texts.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("h")).limit(plan.unlabelled)
-    return fit(positive, [r["text"] for r in drawn.select("text").collect()], prior, plan, clean)
+    return fit(positive, [r["text"] for r in drawn.select("text").collect()], prior, plan)
 
 
 def score(docs: DataFrame, model: Model, plan: Plan = Plan()) -> DataFrame:
@@ -253,7 +276,8 @@ def score(docs: DataFrame, model: Model, plan: Plan = Plan()) -> DataFrame:
 
 
 def keep(docs: DataFrame, model: Model, plan: Plan = Plan()) -> DataFrame:
-    """The rows of ``docs``, all columns kept, that aren't scored toxic."""
+    """The rows of ``docs``, all columns kept, that aren't scored toxic. Null and empty texts have no feature and the
+    score that goes with that; repeated rows are judged alike, and a null doc_id doesn't matter."""
 
     def run(batches):
         for batch in batches:
