@@ -4,12 +4,13 @@ One table of symbol frequencies, counted over all documents and scaled to 2**BIT
 A block holds whole documents and can be decoded by itself. Its ids are dealt in turn to LANES interleaved
 coders; states are 64-bit and give off 32-bit words. Layout of a block, all little-endian:
 
-    magic "RNS1" | lanes u32 | ids u64 | words u64 | checkpoints u32 | crc32 of the ids u32 | crc32 of what follows u32
-    per checkpoint: step u64 | first word u64 | a state u64 for each lane
+    magic "RNS2" | lanes u32 | span u32 | ids u64 | words u64 | checkpoints u32 | crc32 of the ids u32 | crc32 of all else u32
+    per checkpoint: step u64 | first word u64 | crc32 of the ids up to the next u32 | 0 u32 | a state u64 for each lane
     words u32
 
-The first checkpoint is at step 0; others follow every SPAN steps, so that parts of a block can be decoded in
-parallel, each from its checkpoint. A block whose checksum differs is refused.
+The first checkpoint is at step 0; others follow every SPAN steps, of which a block has several. ``decode`` goes
+from all of them at once, in steps that take an id of every lane of every span; one span can be decoded by itself, and
+``spans`` deals them over all tasks. A block or span whose checksum differs is refused.
 """
 
 from __future__ import annotations
@@ -29,13 +30,15 @@ from dialoom.llm.tokens import Encoder
 
 BITS = 20
 LANES = 512
-SPAN = 1024
+#: Steps between checkpoints: 65,536 ids, a quarter of an ordinary block.
+SPAN = 128
 #: A block ends with the document that brings it to as many ids.
 BLOCK_IDS = 1 << 18
 #: Bytes of a Parquet row group, which a writer holds in memory.
 GROUP_BYTES = 16 << 20
 _LOW = np.uint64(1 << 31)
-_HEAD = struct.Struct("<4sIQQIII")
+_HEAD = struct.Struct("<4sIIQQIII")
+_MARK = struct.Struct("<QQII")
 
 
 class CorruptBlock(ValueError):
@@ -91,46 +94,74 @@ def encode(ids: np.ndarray, table: Table) -> bytes:
         given += len(out)
         if step % SPAN == 0:
             marks.append((step, given, x.copy()))
-    body = b"".join(struct.pack("<QQ", s, given - g) + state.astype("<u8").tobytes() for s, g, state in reversed(marks))
+    raw = memoryview(np.ascontiguousarray(ids, "<u4").tobytes())
+    each = 4 * SPAN * LANES
+    body = b"".join(_MARK.pack(s, given - g, zlib.crc32(raw[each * k : each * (k + 1)]), 0) + state.astype("<u8").tobytes() for k, (s, g, state) in enumerate(reversed(marks)))
     body += b"".join(w.tobytes() for w in reversed(words))
-    crc = zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
-    return _HEAD.pack(b"RNS1", LANES, n, given, len(marks), crc, zlib.crc32(body)) + body
+    return _sealed(_HEAD.pack(b"RNS2", LANES, SPAN, n, given, len(marks), zlib.crc32(raw), 0), body)
 
 
-def decode(block: bytes, table: Table, span: int | None = None) -> np.ndarray:
-    """The ids of a block, or only those from one checkpoint to the next."""
+def _sealed(head: bytes, body: bytes) -> bytes:
+    return head[:-4] + struct.pack("<I", zlib.crc32(body, zlib.crc32(head[:-4]))) + body
+
+
+def _head(block: bytes) -> tuple:
     if len(block) < _HEAD.size:
         raise CorruptBlock("a block is too short")
-    magic, lanes, n, given, marks, crc, body_crc = _HEAD.unpack_from(block)
-    if magic != b"RNS1" or zlib.crc32(memoryview(block)[_HEAD.size :]) != body_crc:
+    magic, *rest, seal = _HEAD.unpack_from(block)
+    view = memoryview(block)
+    if magic != b"RNS2" or zlib.crc32(view[_HEAD.size :], zlib.crc32(view[: _HEAD.size - 4])) != seal:
         raise CorruptBlock("a block's checksum differs")
-    each = 16 + 8 * lanes
+    return tuple(rest)
+
+
+def span_count(block: bytes) -> int:
+    """How many spans, each of which can be decoded by itself, a block has."""
+    return _head(block)[4]
+
+
+def decode(block: bytes, table: Table, span: int | None = None) -> np.ndarray:
+    """The ids of a block, or only those from one checkpoint to the next."""
+    lanes, stride, n, given, marks, crc = _head(block)
+    each = _MARK.size + 8 * lanes
     words = np.frombuffer(block, "<u4", given, _HEAD.size + marks * each).astype(np.uint64)
-    steps = -(-n // lanes)
-    out = np.empty(n, np.uint32)
-    low, mask = np.uint64((1 << BITS) - 1), np.uint64(BITS)
-    spans = range(marks) if span is None else [span]
-    for k in spans:
-        at = _HEAD.size + k * each
-        step, w = struct.unpack_from("<QQ", block, at)
-        x = np.frombuffer(block, "<u8", lanes, at + 16).astype(np.uint64)
-        for t in range(step, min(steps, step + SPAN)):
-            m = min(lanes, n - t * lanes)
-            y = x[:m]
-            place = y & low
-            s = table.symbol[place]
-            out[t * lanes : t * lanes + m] = s
-            y = table.freq[s] * (y >> mask) + place - table.first[s]
-            less = np.flatnonzero(y < _LOW)
-            if len(less):
-                y[less] = (y[less] << np.uint64(32)) | words[w : w + len(less)]
-                w += len(less)
-            x[:m] = y
-    if span is not None:
-        return out[spans[0] * SPAN * lanes : min(n, (spans[0] + 1) * SPAN * lanes)]
-    if zlib.crc32(out.astype("<u4").tobytes()) != crc:
+    chosen = range(marks) if span is None else [span]
+    heads = [_MARK.unpack_from(block, _HEAD.size + k * each) for k in chosen]
+    x = np.stack([np.frombuffer(block, "<u8", lanes, _HEAD.size + k * each + _MARK.size) for k in chosen]).astype(np.uint64) if heads else np.zeros((0, lanes), np.uint64)
+    w = np.array([h[1] for h in heads], np.int64)
+    sizes = [min(n, (k + 1) * stride * lanes) - k * stride * lanes for k in chosen]  # only the last may be short
+    out = np.empty((len(sizes), stride * lanes), np.uint32)
+    low, shift = np.uint64((1 << BITS) - 1), np.uint64(BITS)
+
+    def step(y: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of states (a row for each span), and the states after; ``at``: the spans' next words, moved on."""
+        place = y & low
+        s = table.symbol[place]
+        y = table.freq[s] * (y >> shift) + place - table.first[s]
+        less = y < _LOW
+        took = less.sum(axis=1)
+        if took.any():
+            row, lane = np.nonzero(less)
+            y[row, lane] = (y[row, lane] << np.uint64(32)) | words[at[row] + np.arange(len(row)) - np.repeat(np.cumsum(took) - took, took)]
+            at += took
+        return s, y
+
+    for t in range(stride):
+        full = sum(m >= (t + 1) * lanes for m in sizes)  # spans with an id in every lane; they come first
+        if full:
+            at = w[:full]
+            out[:full, t * lanes : (t + 1) * lanes], x[:full] = step(x[:full], at)
+            w[:full] = at
+        if full < len(sizes):
+            if (m := sizes[-1] - t * lanes) > 0:
+                out[-1:, t * lanes : t * lanes + m], _ = step(x[-1:, :m], w[-1:].copy())
+                sizes[-1] = -1  # done
+            if not full:
+                break
+    ids = np.concatenate([out[k, : min(n, (c + 1) * stride * lanes) - c * stride * lanes] for k, c in enumerate(chosen)]) if heads else np.zeros(0, np.uint32)
+    if zlib.crc32(ids.astype("<u4").tobytes()) != (crc if span is None else heads[0][2]):
         raise CorruptBlock("the ids' checksum differs")
-    return out
+    return ids
 
 
 @dataclass(frozen=True)
@@ -177,6 +208,8 @@ def _write(plan: Plan, table: Table):
     """Blocks of a part's rows, which come in order."""
 
     def run(batches):
+        Encoder.forget()  # a worker may have one from the stage before, which isn't needed beside blocks
+        wordhash.frugal()
         kind = "<u2" if plan.vocabulary <= 1 << 16 else "<u4"
         docs, held, n, start, number, part = [], [], 0, 0, 0, None
 
@@ -261,6 +294,38 @@ def read(spark: SparkSession, path: str, vocabulary: int = 1 << 16) -> DataFrame
     return rows.mapInArrow(_read(table), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def spans(spark: SparkSession, path: str, vocabulary: int = 1 << 16) -> DataFrame:
+    """The ids of all blocks by checkpoint, each span decoded by itself and dealt over all tasks, so that even the block
+    of one very long document is decoded in parallel: part, number, span, ids."""
+    table = load_table(spark, path, vocabulary)
+
+    def cut(batches):
+        for batch in batches:
+            for p, k, block in zip(*(batch.column(c).to_pylist() for c in ("part", "number", "block")), strict=True):
+                for i in range(span_count(block)):
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([k], pa.int32()), pa.array([i], pa.int32()), pa.array([only(block, i)], pa.binary())], names=["part", "number", "span", "block"])
+
+    def run(batches):
+        for batch in batches:
+            ids = [decode(b, table, 0) for b in batch.column("block").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("part", "number", "span")), pa.array(ids, pa.list_(pa.int64()))], names=["part", "number", "span", "ids"])
+
+    blocks = spark.read.parquet(f"{path}/blocks").select("part", "number", "block").mapInArrow(cut, "part int, number int, span int, block binary")
+    return blocks.repartition(partitions(spark), "part", "number", "span").mapInArrow(run, "part int, number int, span int, ids array<long>")
+
+
+def only(block: bytes, span: int) -> bytes:
+    """A block that holds one span of another: its checkpoint and the words up to the next one's."""
+    lanes, stride, n, given, marks, _ = _head(block)
+    each = _MARK.size + 8 * lanes
+    at = _HEAD.size + span * each
+    _, first, crc, _ = _MARK.unpack_from(block, at)
+    last = _MARK.unpack_from(block, at + each)[1] if span + 1 < marks else given
+    words = _HEAD.size + marks * each
+    body = _MARK.pack(0, 0, crc, 0) + block[at + _MARK.size : at + each] + block[words + 4 * first : words + 4 * last]
+    return _sealed(_HEAD.pack(b"RNS2", lanes, stride, min(n - span * stride * lanes, stride * lanes), last - first, 1, crc, 0), body)
+
+
 def round_trip(spark: SparkSession, docs: DataFrame, plan: Plan) -> DataFrame:
     """Write the ids of ``docs`` to the shared folder and read them back.
 

@@ -63,6 +63,11 @@ class Encoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Give up those of this process."""
+        cls._open.clear()
+
     def clear(self) -> None:
         self.known = np.zeros(0, np.uint64)  # hashes, ascending
         self.slot = np.zeros(0, np.int32)  # and the piece's place in begin and size
@@ -72,8 +77,8 @@ class Encoder:
         self.used = 0
         self.count = 0  # pieces in all
         self.text = np.zeros(1 << 16, np.uint8)  # their bytes, and where each piece's begin and end
-        self.text_at = np.zeros(1 << 14, np.int64)
-        self.text_to = np.zeros(1 << 14, np.int64)
+        self.text_at = np.zeros(1 << 14, np.int32)
+        self.text_to = np.zeros(1 << 14, np.int32)
         self.odd: dict[bytes, int] = {}  # places of pieces whose hash another piece has
 
     def _add(self, pieces: list[bytes]) -> int:
@@ -92,8 +97,8 @@ class Encoder:
             raw = np.frombuffer(b"".join(some), np.uint8)
             chars = np.fromiter(map(len, some), np.int64, len(some))
             held = int(self.text_to[n - 1]) if n else 0
-            if held + len(raw) > len(self.text):
-                self.text = np.concatenate([self.text, np.zeros(max(len(self.text) // 2, len(raw)), np.uint8)])
+            if held + len(raw) + 8 > len(self.text):
+                self.text = np.concatenate([self.text, np.zeros(max(len(self.text) // 2, len(raw) + 8), np.uint8)])
             self.text[held : held + len(raw)] = raw
             self.text_to[n : n + len(some)] = held + np.cumsum(chars)
             self.text_at[n : n + len(some)] = held + np.cumsum(chars) - chars
@@ -108,7 +113,7 @@ class Encoder:
         """Which pieces aren't, byte by byte, those in their places of the store."""
         size = stop - start
         bad = size != self.text_to[slot] - self.text_at[slot]
-        own, held = eights(data), eights(self.text[: int(self.text_to[self.count - 1])])
+        own, held = eights(data), np.lib.stride_tricks.sliding_window_view(self.text, 8)
         todo, at = np.flatnonzero(~bad), 0
         while len(todo):
             left = size[todo] - at
