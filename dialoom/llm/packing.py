@@ -2,11 +2,12 @@
 
 Documents longer than a sequence are cut into full pieces (only the first may be shorter); full pieces are
 sequences of their own. The others are dealt at random into blocks of bounded size. For each block, several
-islands evolve packings of it: a genome is a list of bins; crossover injects the fullest bins of one parent
-into the other, removes the bins that hold a document twice, and best-fits the displaced documents; mutation
-empties the worst-filled bins and some others. After each epoch the islands' elites migrate along a ring
-within the block. The best packing of all islands is the block's. Every island is seeded by its block and
-number, so a lost executor's work is repeated exactly.
+islands evolve packings of it, each island in a task of its own: a genome is a list of bins; crossover injects the
+fullest bins of one parent into the other, removes the bins that hold a document twice, and puts the displaced
+documents back, first in exchange for smaller ones where that fills a bin better, then by best fit; mutation
+empties the worst-filled bins and some others. After each epoch the islands' best packings are written, and migrate
+along a ring within the block; a block with as few bins as its sizes allow is done. The best packing of all islands is
+the block's. Every island is seeded by its block, number and epoch, so a lost executor's work is repeated exactly.
 
 Bins that stay badly filled are not final: their documents are packed again, over all blocks, in further
 rounds with ever fewer blocks, so that little is lost by cutting the table into blocks.
@@ -14,6 +15,7 @@ rounds with ever fewer blocks, so that little is lost by cutting the table into
 
 from __future__ import annotations
 
+import functools
 import zlib
 from dataclasses import dataclass
 
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.llm import wordhash
-from dialoom.llm.shared import Scratch
+from dialoom.llm.shared import Scratch, partitions
 from dialoom.llm.tokens import Encoder
 
 
@@ -71,12 +73,75 @@ def best_fit(items: np.ndarray, sizes: np.ndarray, bins: list[list[int]], free:
         mask |= 1 << f
 
 
+def exchange(items: np.ndarray, sizes: np.ndarray, bins: list[list[int]], free: list[int]) -> np.ndarray:
+    """Put items into bins in exchange for one smaller item each, where that fills a bin better, the largest gain
+    first; returns what is outside afterwards."""
+    gaps = [b for b, f in enumerate(free) if f]
+    if not gaps or not len(items):
+        return items
+    pool: dict[int, list[int]] = {}
+    for i in items.tolist():
+        pool.setdefault(int(sizes[i]), []).append(i)
+    kinds = np.array(sorted(pool))
+    member = np.concatenate([bins[b] for b in gaps])
+    of = np.repeat(gaps, [len(bins[b]) for b in gaps])
+    reach = sizes[member] + np.array(free)[of]
+    best = kinds[np.maximum(np.searchsorted(kinds, reach, "right") - 1, 0)]
+    gain = np.where(best <= reach, best - sizes[member], 0)
+    done: set[int] = set()
+    for k in np.argsort(-gain, kind="stable").tolist():
+        if gain[k] <= 0:
+            break
+        b, old, size = int(of[k]), int(member[k]), int(best[k])
+        if b in done or not pool.get(size):
+            continue
+        bins[b][bins[b].index(old)] = pool[size].pop()
+        free[b] -= size - int(sizes[old])
+        pool.setdefault(int(sizes[old]), []).append(old)
+        done.add(b)
+    return np.array(sorted(i for v in pool.values() for i in v), np.int64)
+
+
+def fewest(sizes: np.ndarray, capacity: int) -> int:
+    """A bound that no packing is below: the total, and items over half a bin with those that fit beside none of them."""
+    least = -(-int(sizes.sum()) // capacity)
+    for k in np.unique(sizes[2 * sizes <= capacity]).tolist():
+        huge = sizes > capacity - k
+        large = ~huge & (2 * sizes > capacity)
+        small = (sizes >= k) & (2 * sizes <= capacity)
+        room = int(large.sum()) * capacity - int(sizes[large].sum())
+        least = max(least, int(huge.sum() + large.sum()) + max(0, -(-(int(sizes[small].sum()) - room) // capacity)))
+    return max(least, int((2 * sizes > capacity).sum()))
+
+
+def bins_of(genome: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[list[list[int]], list[int]]:
+    """A packing from the bins' numbers by item."""
+    order = np.argsort(genome, kind="stable")
+    cuts = np.flatnonzero(np.diff(genome[order])) + 1
+    bins = [b.tolist() for b in np.split(order, cuts)] if len(genome) else []
+    return bins, [capacity - int(sizes[b].sum()) for b in bins]
+
+
+def genome_of(p, n: int) -> np.ndarray:
+    out = np.zeros(n, np.int32)
+    for b, items in enumerate(p[0]):
+        out[items] = b
+    return out
+
+
 class Island:
-    """Evolves packings of items with the given sizes; a packing is (bins, free places of each)."""
+    """Evolves packings of items with the given sizes; a packing is (bins, free places of each). It begins with
+    given packings, or anew."""
 
-    def __init__(self, sizes: np.ndarray, plan: Plan, seed: int):
+    def __init__(self, sizes: np.ndarray, plan: Plan, seed: int | list[int], given: list[np.ndarray] | None = None):
         self.sizes, self.plan, self.rng = sizes, plan, np.random.default_rng(seed)
-        self.people = [self._first(k) for k in range(plan.population)]
+        self.least = fewest(sizes, plan.capacity)
+        self.people = [bins_of(g, sizes, plan.capacity) for g in given or []][: plan.population]
+        if not self.people:
+            self.people = [self._first(0)]
+        while len(self.people) < plan.population and not self.done():
+            k = len(self.people)
+            self.people.append(self.mutate(self.people[k % len(given)]) if given else self._first(k))
 
     def _first(self, k: int):
         bins: list[list[int]] = []
@@ -98,11 +163,18 @@ class Island:
     def best(self):
         return max(self.people, key=self.worth)
 
+    def done(self) -> bool:
+        """Whether no packing has fewer bins than the best one here."""
+        return len(self.best()[0]) <= self.least
+
     def _refit(self, bins: list[list[int]], free: list[int]):
         have = np.zeros(len(self.sizes), bool)
         for b in bins:
             have[b] = True
-        best_fit(np.flatnonzero(~have), self.sizes, bins, free, self.plan.capacity)
+        out = np.flatnonzero(~have)
+        for _ in range(2):
+            out = exchange(out, self.sizes, bins, free)
+        best_fit(out, self.sizes, bins, free, self.plan.capacity)
         return bins, free
 
     def cross(self, p, q):
@@ -124,8 +196,8 @@ class Island:
 
     def evolve(self) -> None:
         for _ in range(self.plan.generations):
-            if len(self.best()[0]) * self.plan.capacity - int(self.sizes.sum()) < self.plan.capacity:
-                return  # no packing has fewer bins
+            if self.done():
+                return
             i, j = self.rng.integers(0, len(self.people), 2).tolist()
             child = self.cross(self.people[i], self.people[j]) if i != j else self.mutate(self.people[i])
             if self.rng.random() < 0.5:
@@ -135,17 +207,24 @@ class Island:
                 self.people[worst] = child
 
 
+def epoch(sizes: np.ndarray, plan: Plan, seed: list[int], given: list[np.ndarray] | None) -> tuple[list[np.ndarray], tuple, bool]:
+    """One epoch of an island: its two best packings, the best one's worth, and whether it can't be bettered."""
+    x = Island(sizes, plan, seed, given)
+    x.evolve()
+    best = sorted(x.people, key=x.worth, reverse=True)[:2]
+    return [genome_of(p, len(sizes)) for p in best], x.worth(best[0]), x.done()
+
+
 def pack(sizes: np.ndarray, plan: Plan, seed: int):
-    """The best packing of all islands: (bins, free)."""
-    islands = [Island(sizes, plan, seed * 1000 + k) for k in range(plan.islands)]
-    for _ in range(plan.epochs):
-        for x in islands:
-            x.evolve()
-        elites = [x.best() for x in islands]
-        for k, x in enumerate(islands):  # along a ring; the elite takes the worst one's place
-            worst = min(range(len(x.people)), key=lambda m: x.worth(x.people[m]))
-            x.people[worst] = elites[k - 1]
-    return max((x.best() for x in islands), key=islands[0].worth)
+    """What the islands make of one block, here one after another: (bins, free)."""
+    state: list[tuple] = [(None, None, False)] * plan.islands
+    for e in range(plan.epochs):
+        given = [None if e == 0 else [*own, state[k - 1][0][0]] for k, (own, _, _) in enumerate(state)]
+        state = [epoch(sizes, plan, [seed, k, e], g) for k, g in enumerate(given)]
+        if any(done for _, _, done in state):
+            break
+    best = max(range(plan.islands), key=lambda k: (state[k][1], k))
+    return bins_of(state[best][0][0], sizes, plan.capacity)
 
 
 def _pieces(plan: Plan):
@@ -173,45 +252,102 @@ def _pieces(plan: Plan):
     return run
 
 
-def _pack_blocks(plan: Plan, number: int, last: bool):
-    """Rows sorted by (block, key), a block at a time; ``bin`` is null for what another round packs."""
+def _gather(batches):
+    """Blocks from rows sorted by (block, key): block, keys, sizes."""
+    held: list[pa.RecordBatch] = []
+
+    def done():
+        t = pa.Table.from_batches(held).combine_chunks()
+        cols = [[t.column("block")[0].as_py()], [t.column("key").to_numpy().astype("<i8").tobytes()], [t.column("length").to_numpy().astype("<i4").tobytes()]]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["block", "keys", "sizes"])
+
+    for batch in batches:
+        block = batch.column("block").to_numpy()
+        cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            if i == j:
+                continue
+            if held and held[0].column("block")[0].as_py() != block[i]:
+                yield done()
+                held.clear()
+            held.append(batch.slice(i, j - i))
+    if held:
+        yield done()
+
+
+def _epoch(plan: Plan, number: int, e: int):
+    """An epoch of each row's island."""
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-
-        def done():
-            t = pa.Table.from_batches(held).combine_chunks()
-            sizes = t.column("length").to_numpy()
-            block = t.column("block")[0].as_py()
-            bins, free = pack(sizes, plan, plan.seed + 31 * number + 7919 * block)
-            where, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-            again = np.zeros(len(sizes), bool)
-            for b, (items, f) in enumerate(zip(bins, free, strict=True)):
-                items = sorted(items)
-                where[items] = b
-                offset[items] = np.concatenate([[0], np.cumsum(sizes[items])[:-1]])
-                if not last and f > plan.loose:
-                    again[items] = True
-            out = t.select(["key", "length"]).append_column("bin", pa.array(where, mask=again)).append_column("offset", pa.array(offset))
-            out = out.append_column("block", t.column("block"))
-            return out.to_batches()
+        for batch in batches:
+            for row in batch.to_pylist():
+                sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
+                given = [np.frombuffer(g, "<i4") for g in (row["first"], row["second"], row["guest"]) if g is not None]
+                best, worth, done = epoch(sizes, plan, [plan.seed + 31 * number, row["block"], row["island"], e], given or None)
+                out = {"block": row["block"], "island": row["island"], "first": best[0].astype("<i4").tobytes(), "second": best[-1].astype("<i4").tobytes(), "bins": -worth[0], "gaps": worth[1], "done": done}
+                yield pa.RecordBatch.from_pylist([out], schema=_STATE)
+
+    return run
+
+
+_STATE = pa.schema([("block", pa.int64()), ("island", pa.int32()), ("first", pa.binary()), ("second", pa.binary()), ("bins", pa.int64()), ("gaps", pa.int64()), ("done", pa.bool_())])
+_STATE_SQL = "block long, island int, first binary, second binary, bins long, gaps long, done boolean"
+
 
+def _place(plan: Plan, last: bool):
+    """Places from blocks and their best packings; ``bin`` is null for what another round packs."""
+
+    def run(batches):
         for batch in batches:
-            block = batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
-            for i, j in zip(cuts, cuts[1:], strict=False):
-                if i == j:
-                    continue
-                if held and held[0].column("block")[0].as_py() != block[i]:
-                    yield from done()
-                    held.clear()
-                held.append(batch.slice(i, j - i))
-        if held:
-            yield from done()
+            for row in batch.to_pylist():
+                sizes, keys = np.frombuffer(row["sizes"], "<i4").astype(np.int64), np.frombuffer(row["keys"], "<i8")
+                bins, free = bins_of(np.frombuffer(row["genome"], "<i4"), sizes, plan.capacity)
+                where, offset, again = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), np.zeros(len(sizes), bool)
+                for b, (items, f) in enumerate(zip(bins, free, strict=True)):
+                    items = sorted(items)
+                    where[items] = b
+                    offset[items] = np.concatenate([[0], np.cumsum(sizes[items])[:-1]])
+                    if not last and f > plan.loose:
+                        again[items] = True
+                cols = [pa.array(keys), pa.array(sizes), pa.array(where, mask=again), pa.array(offset), pa.array(np.full(len(sizes), row["block"], np.int64))]
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "length", "bin", "offset", "block"])
 
     return run
 
 
+def _packed(scratch: Scratch, rest: DataFrame, plan: Plan, number: int, blocks: int, last: bool) -> DataFrame:
+    """One round over ``rest(key, length)``: key, length, bin (null: to be packed again), offset, block."""
+    n = partitions(scratch.spark)
+    dealt = rest.withColumn("block", F.pmod(F.xxhash64("key", F.lit(number)), F.lit(blocks)).cast("long"))
+    dealt = dealt.repartition(max(1, min(blocks, 4 * n)), "block").sortWithinPartitions("block", "key")
+    table = scratch.save(dealt.mapInArrow(_gather, "block long, keys binary, sizes binary"), f"blocks{number}")
+    sizes = table.select("block", "sizes")
+    null = F.lit(None).cast("binary")
+    state, names = None, []
+    for e in range(plan.epochs):
+        if state is None:
+            rows = sizes.select("block", F.explode(F.sequence(F.lit(0), F.lit(plan.islands - 1))).alias("island"), "sizes", null.alias("first"), null.alias("second"), null.alias("guest"))
+        else:  # the best packing of an island goes to the next one of its block's ring
+            open_ = state.groupBy("block").agg(F.max("done").alias("d")).where("NOT d").select("block")
+            own = state.join(open_, "block").select("block", "island", "first", "second")
+            guests = state.select("block", F.pmod(F.col("island") + 1, F.lit(plan.islands)).alias("island"), F.col("first").alias("guest"))
+            rows = own.join(guests, ["block", "island"]).join(sizes, "block")
+        rows = rows.repartition(max(1, min(blocks * plan.islands, 4 * n)), "block", "island")
+        name = f"islands{number}-{e}"
+        grown = scratch.save(rows.select("block", "island", "sizes", "first", "second", "guest").mapInArrow(_epoch(plan, number, e), _STATE_SQL), name)
+        if grown.isEmpty():
+            scratch.drop(name)
+            break
+        names.append(name)
+        state = grown
+    # a block's last epoch is its best one, as an island's best packing is never given up
+    every = functools.reduce(DataFrame.unionByName, (scratch.load(x, state) for x in names))
+    best = every.groupBy("block").agg(F.max(F.struct(-F.col("bins"), "gaps", "island", F.col("first").alias("genome"))).alias("b")).select("block", "b.genome")
+    out = scratch.save(table.join(best, "block").mapInArrow(_place(plan, last), "key long, length long, bin long, offset long, block long"), f"round{number}")
+    scratch.drop(f"blocks{number}", *names)
+    return out
+
+
 def packing(spark: SparkSession, docs: DataFrame, plan: Plan) -> DataFrame:
     """Pieces of all rows of ``docs(doc_id, text)`` and their places:
     doc_id, piece, start, length, ids_crc32, sequence_id, offset.
@@ -230,12 +366,9 @@ def packing(spark: SparkSession, docs: DataFrame, plan: Plan) -> DataFrame:
     while left:
         blocks = max(1, round(left / plan.block))
         last = blocks == 1 or number + 1 == plan.rounds
-        dealt = rest.withColumn("block", F.pmod(F.xxhash64("key", F.lit(number)), F.lit(blocks)).cast("int"))
-        dealt = dealt.repartition(min(blocks, 4096), "block").sortWithinPartitions("block", "key")
-        out = dealt.mapInArrow(_pack_blocks(plan, number, last), "key long, length long, bin long, offset long, block int")
-        out = scratch.save(out, f"round{number}")
+        out = _packed(scratch, rest, plan, number, blocks, last)
         done = out.where("bin is not null")
-        placed.append(done.select("key", (F.lit((number + 1) << 56) + F.col("block").cast("long") * (1 << 24) + F.col("bin")).alias("sequence_id"), "offset"))
+        placed.append(done.select("key", (F.lit((number + 1) << 56) + F.col("block") * (1 << 20) + F.col("bin")).alias("sequence_id"), "offset"))
         if last:
             break
         rest = out.where("bin is null").select("key", "length")

@@ -29,6 +29,10 @@ class Scratch:
         df.write.mode("overwrite").option("parquet.block.size", GROUP_BYTES).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def load(self, name: str, like: DataFrame) -> DataFrame:
+        """A table saved before, with the columns of another."""
+        return self.spark.read.schema(like.schema).parquet(self.path(name))
+
     def drop(self, *names: str) -> None:
         for name in names:
             folders.remove(self.spark, self.path(name))
