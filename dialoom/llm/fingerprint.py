@@ -13,15 +13,15 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dialoom.functions.exact import cuts_below
 from dialoom.llm import wordhash
 from dialoom.llm.shared import partitions
 
@@ -139,17 +139,6 @@ def _run(plan: Plan):
     return run
 
 
-def _above(cuts: list[int], k: Column) -> Column:
-    """How many of the descending cuts are above k: looked up among every s-th, then among the s that follow it."""
-    if not cuts:
-        return F.lit(0)
-    s = math.isqrt(len(cuts) - 1) + 1
-    count = lambda a: F.size(F.filter(a, lambda c: c > k))
-    every = F.array(*map(F.lit, cuts))
-    first = (count(F.array(*map(F.lit, cuts[::s]))) - 1) * s
-    return F.when(first < 0, 0).otherwise(first + count(F.slice(every, F.greatest(first, F.lit(0)) + 1, s)))
-
-
 def fingerprints(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """Fingerprints of each row of ``docs(doc_id, text)`` and of its edited text.
 
@@ -162,9 +151,9 @@ def fingerprints(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> D
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("k"))
     n = partitions(spark)
     marks = [i / n for i in range(1, n)]
-    cuts = sorted({int(x) for x in docs.stat.approxQuantile("k", marks, 0.2 / n)}, reverse=True) if marks else []  # n - 1 values at most
+    cuts = sorted({int(x) for x in docs.stat.approxQuantile("k", marks, 0.2 / n)}) if marks else []  # n - 1 values at most
     # bucket 0 has the largest ids; a row's bucket is the number of cuts above its id
-    bucket = _above(cuts, F.col("k"))
+    bucket = F.lit(len(cuts)) - cuts_below(cuts, F.col("k"))
     keyed = docs.withColumn("bucket", bucket.cast("int"))
     tops = sorted((r["bucket"], r["top"]) for r in keyed.groupBy("bucket").agg(F.max("k").alias("top")).collect())  # a row for each bucket
     own = keyed.withColumn("guest", F.lit(False))
@@ -173,6 +162,39 @@ def fingerprints(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> D
         place = F.create_map(*(F.lit(x) for top, b in before.items() for x in (top, b)))[F.col("k")]
         guests = keyed.where(F.col("k").isin(list(before))).withColumn("bucket", place.cast("int")).withColumn("guest", F.lit(True))
         own = own.unionByName(guests)
-    dealt = own.repartition(n, "bucket").sortWithinPartitions("bucket", "guest", F.desc("k"), "text")
+    dealt = own.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "guest", F.desc("k"), "text")
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_distinct double, in_next double"
     return dealt.select("bucket", "guest", "doc_id", "text").mapInArrow(_run(plan), schema)
+
+
+def _merge_sorted(k: int, column: str, kind: str):
+    """One sketch of each key from rows in the order of keys."""
+
+    def run(batches):
+        key, sketch = None, None
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([key], kind), pa.array([encode(sketch)])], names=[column, "fingerprint"])
+
+        for batch in batches:
+            for x, text in zip(batch.column(column).to_pylist(), batch.column("fingerprint").to_pylist(), strict=True):
+                if sketch is not None and x != key:
+                    yield out()
+                    sketch = None
+                key, sketch = x, decode(text) if sketch is None else merge(sketch, decode(text), k)
+        if sketch is not None:
+            yield out()
+
+    return run
+
+
+def merged(rows: DataFrame, by: str, plan: Plan = Plan()) -> DataFrame:
+    """The fingerprint of all texts of each value of a string column, merged from those of ``rows(by, fingerprint)``: by, fingerprint.
+
+    Each task merges what it has of a value before the shuffle, so a value with a large share of all rows sends one
+    sketch a task. Null is a value like others; rows without a fingerprint are passed over.
+    """
+    some = rows.where("fingerprint IS NOT NULL").select(F.col(by).cast("string").alias(by), "fingerprint")
+    run = _merge_sorted(plan.k, by, "string")
+    schema = f"`{by}` string, fingerprint string"
+    return some.sortWithinPartitions(by).mapInArrow(run, schema).repartition(partitions(rows.sparkSession), by).sortWithinPartitions(by).mapInArrow(run, schema)
