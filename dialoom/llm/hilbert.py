@@ -68,7 +68,7 @@ def _category(docs: DataFrame, column: str) -> Column:
 
 def shards(spark: SparkSession, docs: DataFrame, number: int = 40) -> DataFrame:
     """One row per row of ``docs(doc_id, text, lang, source)``: doc_id, size, text_crc32, law, shard, slot,
-    grown_shard, curve.
+    grown_shard, curve, lang, source.
 
     Null text has size 16 and checksum 0. Null ids, languages and sources have cells of their own; ties are
     ordered by id, equal rows in any order. With fewer rows than shards, the last shards are empty; an empty
@@ -88,6 +88,8 @@ def shards(spark: SparkSession, docs: DataFrame, number: int = 40) -> DataFrame:
         _category(raw, "lang").alias("x0"),
         _category(raw, "source").alias("x1"),
         cell.alias("x3"),
+        "lang",
+        "source",
     )
     rows = rows.withColumn("x2", F.least(F.lit(OWN), F.floor(F.log2("size") * 1.5).cast("int")))
     rows = scratch.save(rows.withColumn("curve", _curve("x0", "x1", "x2", "x3")).drop("x0", "x1", "x2", "x3"), "rows")
@@ -112,12 +114,19 @@ def shards(spark: SparkSession, docs: DataFrame, number: int = 40) -> DataFrame:
     shard = F.when(F.col("pos") < cut, F.floor(F.col("pos") / F.lit(small + 1))).otherwise(F.floor((F.col("pos") - cut) / F.lit(max(small, 1))) + extra)
     slot = F.when(F.col("pos") < cut, F.col("pos") % (small + 1)).otherwise((F.col("pos") - cut) % max(small, 1))
     return placed.withColumn("pos", at).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("at").alias("curve")
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("at").alias("curve"), "lang", "source"
     )
 
 
-def statistics(docs: DataFrame, placed: DataFrame) -> DataFrame:
-    """Least and largest values of each shard, by which a reader skips shards: joins ``docs`` to their places."""
-    rows = docs.select("doc_id", "lang", "source").join(placed.select("doc_id", "shard", "size"), "doc_id")
+def statistics(placed: DataFrame) -> DataFrame:
+    """Least and largest values of each shard of ``shards``' result, by which a reader skips shards; nulls have none."""
     ends = [f(c).alias(f"{n}_{c}") for c in ("doc_id", "lang", "source", "size") for n, f in (("least", F.min), ("largest", F.max))]
-    return rows.groupBy("shard").agg(F.count("*").alias("rows"), *ends)
+    return placed.groupBy("shard").agg(F.count("*").alias("rows"), *ends)
+
+
+def pruned(stats: DataFrame, **equal) -> DataFrame:
+    """How many shards a reader of rows with given values has to open, and how many there are: opened, shards."""
+    fits = F.lit(True)
+    for column, value in equal.items():
+        fits = fits & F.coalesce(F.lit(value).between(F.col(f"least_{column}"), F.col(f"largest_{column}")), F.lit(False))
+    return stats.agg(F.count_if(fits).alias("opened"), F.count("*").alias("shards"))
