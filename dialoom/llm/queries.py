@@ -64,8 +64,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The turns of conversations as calls and their results, linked, ordered, validated and serialised."""
-    calls, results = toolcalls.from_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    return toolcalls.link(spark, calls, results, toolcalls.REPLY)
+    calls, results, context = toolcalls.from_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return toolcalls.link(spark, calls, results, toolcalls.REPLY, context)
 
 
 QUERIES = {

@@ -30,6 +30,20 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id)
        || ',"result":' || coalesce(to_json(r.content)::VARCHAR, 'null') || '}' AS canonical
 FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
 LEFT JOIN chains h ON h.conv_id = c.conv_id AND h.call_id = c.call_id
+UNION ALL
+SELECT conv_id, 'c' || turn, 'unidentified', NULL, CAST(turn AS BIGINT), NULL, 1, 0, text IS NOT NULL AND turn IS NOT NULL,
+       array_to_string(list_filter([CASE WHEN text IS NULL THEN 'missing message' END, CASE WHEN turn IS NULL THEN 'missing turn' END], lambda x: x IS NOT NULL), '; '),
+       '{"call":{"arguments":{' || array_to_string(list_filter(['"message":' || to_json(text)::VARCHAR, '"turn":' || turn], lambda x: x IS NOT NULL), ',') || '},"name":"reply"},"id":'
+       || coalesce('"c' || turn || '"', 'null') || ',"result":null}'
+FROM conversations WHERE role = 'user' AND (conv_id IS NULL OR turn IS NULL)
+UNION ALL
+SELECT conv_id, 'c' || (turn - 1), 'unidentified', NULL, NULL, CAST(turn AS BIGINT), 0, 1, false, '',
+       '{"call":null,"id":' || coalesce('"c' || (turn - 1) || '"', 'null') || ',"result":' || coalesce(to_json(text)::VARCHAR, 'null') || '}'
+FROM conversations WHERE role = 'assistant' AND (conv_id IS NULL OR turn IS NULL)
+UNION ALL
+SELECT conv_id, NULL, 'context', NULL, CAST(turn AS BIGINT), NULL, 0, 0, true, '',
+       '{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"position":' || coalesce(turn::VARCHAR, 'null') || ',"role":' || coalesce(to_json(role)::VARCHAR, 'null') || '}'
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 """
 
 #: Classes of documents whose 3-word shingle sets overlap by nine tenths of their union, by comparing all that share one.

@@ -161,3 +161,14 @@ def test_fingerprints_equal_brute_force(spark, parts):
 def test_edited_text():
     assert fingerprint.edited("abcdefgh", "XYZ") == "abcdefXY" and fingerprint.edited("abcdefghi", "X") == "abcdefX"
     assert fingerprint.edited("ab", "XYZ") == "ab" and fingerprint.edited("", "X") == ""
+
+
+def test_fingerprints_of_groups_are_merged(spark):
+    docs = documents(spark)
+    rows = fingerprint.fingerprints(spark, docs).join(docs.select("doc_id", "source").where("doc_id IS NOT NULL").distinct(), "doc_id")
+    own = rows.collect()
+    got = {r["source"]: r["fingerprint"] for r in fingerprint.merged(rows, "source").collect()}
+    for source in {r["source"] for r in own}:
+        every = np.unique(np.concatenate([fingerprint.decode(r["fingerprint"]) for r in own if r["source"] == source]))
+        assert got[source] == fingerprint.encode(every[:128])
+    assert len(got) == len({r["source"] for r in own})

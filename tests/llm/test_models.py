@@ -302,7 +302,9 @@ def test_calls_are_linked_ordered_and_validated(spark):
     results = [(1, "x", 'said "é"\n', 1), (1, "z", None, 5), (2, "orphan", "r", 3), (2, "x", "b", 4), (2, "x", "a", 2), (None, "x", "r", 0)]
     c = spark.createDataFrame(calls, "conv_id long, call_id string, after string, name string, arguments string, position long")
     r = spark.createDataFrame(results, "conv_id long, call_id string, content string, position long")
-    rows = {(x["conv_id"], x["call_id"]): x for x in toolcalls.link(spark, c, r, SCHEMAS).collect()}
+    found = toolcalls.link(spark, c, r, SCHEMAS).collect()
+    assert sorted(((x["conv_id"], x["call_id"], x["n_calls"], x["n_results"]) for x in found if x["status"] == "unidentified"), key=str) == [(3, None, 1, 0), (None, "x", 0, 1), (None, "x", 1, 0)]
+    rows = {(x["conv_id"], x["call_id"]): x for x in found if x["status"] != "unidentified"}
     assert set(rows) == {(1, "x"), (1, "y"), (1, "z"), (1, "p"), (1, "q"), (2, "x"), (2, "w"), (2, "orphan"), (4, "s")}
     assert [rows[1, k]["depth"] for k in "xyzpq"] == [0, 1, 2, None, None] and rows[4, "s"]["depth"] is None and rows[2, "w"]["depth"] == 1
     assert [rows[k]["status"] for k in ((1, "x"), (1, "y"), (1, "z"), (2, "orphan"))] == ["linked", "unanswered", "linked", "orphan"]
@@ -322,7 +324,11 @@ def test_turns_become_calls(spark):
     rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(200)]
     rows += [(2, 0, "system", "s"), (2, 1, "user", None), (2, 2, "assistant", ""), (2, 3, "assistant", "extra"), (None, 0, "user", "x"), (2, None, "user", "x"), (2, 1, "user", None)]
     turns = spark.createDataFrame([(*r, "j") for r in rows], "conv_id long, turn long, role string, text string, name string")
-    got = {(x["conv_id"], x["call_id"]): x for x in toolcalls.link(spark, *toolcalls.from_turns(turns), toolcalls.REPLY).collect()}
+    calls, results, context = toolcalls.from_turns(turns)
+    found = toolcalls.link(spark, calls, results, toolcalls.REPLY, context).collect()
+    assert len(found) == 102 + 3 and sum(x["n_calls"] + x["n_results"] + (x["status"] == "context") for x in found) == len(rows)
+    assert [x["canonical"] for x in found if x["status"] == "context"] == ['{"content":"s","position":0,"role":"system"}']
+    got = {(x["conv_id"], x["call_id"]): x for x in found if x["status"] not in ("context", "unidentified")}
     assert [got[1, f"c{t}"]["depth"] for t in range(0, 200, 2)] == list(range(100))
     assert got[2, "c1"]["errors"] == "missing message" and got[2, "c1"]["n_calls"] == 2 and got[2, "c2"]["status"] == "orphan"
     assert len(got) == 102
@@ -330,3 +336,177 @@ def test_turns_become_calls(spark):
 
 def test_words_list_is_used():
     assert len(WORDS) == len(set(WORDS))
+
+
+def python_depths(after):
+    """Longest chains before each call, None on a cycle or after one."""
+    known = {}
+
+    def of(k, on):
+        if k in known:
+            return known[k]
+        if k in on:
+            return None
+        ups = [u for u in after[k] if u in after]
+        ds = [of(u, on | {k}) for u in ups]
+        d = None if any(x is None for x in ds) else max((x + 1 for x in ds), default=0)
+        if d is not None or not on:
+            known[k] = d
+        return d
+
+    return {k: of(k, frozenset()) for k in after}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_calls_with_several_dependencies_are_in_topological_order(spark, seed):
+    r = random.Random(seed)
+    rows, want = [], {}
+    for conv in range(6):
+        after = {}
+        for i in range(25):
+            ups = r.sample([f"k{j}" for j in range(i)], min(i, r.choice([0, 1, 1, 1, 2, 3])))
+            after[f"k{i}"] = [*ups, *(["gone"] if r.random() < 0.1 else [])]
+        if conv % 2:  # a cycle, and what stands after it
+            after["k5"] = [*after["k5"], "k9"]
+            after["k9"] = [*after["k9"], "k5"]
+        want |= {(conv, k): d for k, d in python_depths(after).items()}
+        rows += [(conv, k, a or None, "add", "{}", i) for i, (k, a) in enumerate(after.items())]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, after array<string>, name string, arguments string, position long")
+    results = spark.createDataFrame([], "conv_id long, call_id string, content string, position long")
+    got = {(x["conv_id"], x["call_id"]): x["depth"] for x in toolcalls.link(spark, calls, results, SCHEMAS).collect()}
+    assert got == want and None in want.values()
+
+
+def test_a_large_cycle_ends(spark):
+    n = 40
+    rows = [(1, f"c{i}", f"c{(i + 1) % n}", "add", "{}", i) for i in range(n)] + [(1, "after", "c3", "add", "{}", 99), (1, "free", None, "add", "{}", 100)]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, after string, name string, arguments string, position long")
+    results = spark.createDataFrame([], "conv_id long, call_id string, content string, position long")
+    got = {x["call_id"]: x["depth"] for x in toolcalls.link(spark, calls, results, SCHEMAS).collect()}
+    assert got.pop("free") == 0 and set(got.values()) == {None}
+
+
+def test_rules_by_join_equal_rules_one_by_one(spark):
+    r = random.Random(3)
+    hosts = ["com", "a.com", "b.a.com", "net", "x.net", "", "org"]
+    rules = tuple(urlfilter.Rule(r.choice(["block", "allow"]), r.choice(hosts), "/" + "".join(r.choice("ab/") for _ in range(r.randint(0, 6)))) for _ in range(600))
+    urls = [f"http://{r.choice(['', 'q.', 'b.'])}{r.choice(hosts)}/{''.join(r.choice('ab/') for _ in range(r.randint(0, 9)))}" for _ in range(300)] + [None, "", "http://com.", "no", "http://xcom/a"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    order = urlfilter._best_first(rules)
+    want = {}
+    for i, u in enumerate(urls):
+        host, path = python_host_path(u)
+        fit = next((x for x in order if (host == x.host or host.endswith("." + x.host)) and path.startswith(x.path)), None)
+        want[i] = (fit and fit.name, fit and fit.verdict)
+    for most in (10, 1000):
+        got = {x["page_id"]: (x["rule"], x["verdict"]) for x in urlfilter.judge(pages, rules, urlfilter.Plan(rules=most)).collect()}
+        assert {i: x if x[0] else (None, None) for i, x in got.items()} == want
+        assert all(v in ("allow", "block") for _, v in got.values())
+
+
+def test_a_label_is_not_told_by_itself(spark):
+    """Each suffix has one labelled URL, so its statistics must say nothing of that URL's label."""
+    rows = [(i, f"http://h.s{i}/{'b' if i % 2 else 'a'}") for i in range(200)]
+    rules = tuple(urlfilter.Rule("block" if i % 2 else "allow", f"s{i}", "/") for i in range(0, 150))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {x["page_id"]: x["score"] for x in urlfilter.judge(pages, rules, urlfilter.Plan(suffixes=1000)).collect()}
+    assert max(got[i] for i in range(150)) < 0.9 and min(got[i] for i in range(150)) > 0.1
+
+
+def test_languages_are_learned_from_whole_texts(spark):
+    """What tells the languages apart stands after 20,000 characters that they share."""
+    head = prose(1, 5000)
+    rows = [(i, head + " " + " ".join(f"{'qzx' if i % 2 else 'wvk'}{j % 7}" for j in range(300)), "odd" if i % 2 else "even", "a") for i in range(12)]
+    rows += [(100, "qzx3 qzx1 qzx5", None, "a"), (101, "wvk2 wvk6", None, "a")]
+    docs = documents(spark, rows)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, langid.train(docs)).collect()}
+    assert len(head) > 20_000 and got[100] == "odd" and got[101] == "even"
+
+
+def test_seventy_languages(spark):
+    r = random.Random(6)
+    abc = "abcdefghijklmnopqrstuvwxyz0123456789"
+    words = {f"l{k:02d}": ["".join(r.choice(abc) for _ in range(6)) for _ in range(12)] for k in range(70)}
+    rows = [(100 * k + i, " ".join(r.choice(ws) for _ in range(30)), lang, "a") for k, (lang, ws) in enumerate(words.items()) for i in range(6)]
+    docs = documents(spark, rows)
+    got = {x["doc_id"]: x["lang_pred"] for x in langid.predict(docs, langid.train(docs)).collect()}
+    assert got == {i: lang for i, _, lang, _ in rows}
+
+
+def test_the_draw_does_not_depend_on_partitions(spark):
+    rows = [(i, prose(i, 20), "en", "a") for i in range(80)] * 2
+    plan = langid.Plan(sample=20)
+    models = [langid.train(documents(spark, rows).repartition(n), plan) for n in (1, 5)]
+    assert all((a == b).all() for x in ("grams", "cost") for a, b in zip(getattr(models[0], x), getattr(models[1], x)))
+
+
+def test_toxic_words_late_in_long_texts_are_learned(spark):
+    rows, labels = [], []
+    for i in range(160):
+        bad = i % 4 == 0
+        rows.append((i, prose(i, 2500) + (" vilewort grumkin spatfold" * 3 if bad else ""), "en", "a"))
+        labels.append((i, int(bad)))
+    docs = documents(spark, rows)
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert min(len(t) for _, t, *_ in rows) > 12_000
+    assert {r["doc_id"] for r in toxicity.score(docs, model).collect() if r["predicted"]} == {i for i in range(160) if i % 4 == 0}
+
+
+def test_risk_and_slopes_equal_their_definitions():
+    r = np.random.default_rng(2)
+    for shift in (0.0, 3.0, -6.0):  # the last brings the second term below zero
+        gp, gu, prior = r.normal(1 + shift, 2, 40), r.normal(shift, 1, 90), 0.4
+        loss = lambda z: math.log1p(math.exp(-z))
+        first = prior * sum(loss(g) for g in gp) / 40
+        second = sum(loss(-g) for g in gu) / 90 - prior * sum(loss(-g) for g in gp) / 40
+        assert np.allclose(toxicity.risk(gp, gu, prior), (first, second))
+        whole = lambda p, u: sum(toxicity.risk(p, u, prior)) if second >= 0 else -toxicity.risk(p, u, prior)[1]
+        sp, su = toxicity.slopes(gp, gu, prior)
+        for k in (0, 7):
+            e = np.eye(1, 40, k)[0] * 1e-6
+            assert abs((whole(gp + e, gu) - whole(gp - e, gu)) / 2e-6 - sp[k]) < 1e-6
+            e = np.eye(1, 90, k)[0] * 1e-6
+            assert abs((whole(gp, gu + e) - whole(gp, gu - e)) / 2e-6 - su[k]) < 1e-6
+
+
+def test_the_cut_has_the_least_estimated_error():
+    r = np.random.default_rng(5)
+    for _ in range(20):
+        gp, gu, prior = r.normal(1, 1, 30).round(1), r.normal(0, 1.5, 50).round(1), 0.3
+        wrong = lambda c: prior * (gp < c).mean() + max(0, (gu >= c).mean() - prior * (gp >= c).mean())
+        best = min(wrong(c) for c in np.arange(-8, 8, 0.05))
+        assert abs(wrong(toxicity.best_cut(gp, gu, prior)) - best) < 1e-9
+
+
+def test_toxic_features_equal_a_plain_count():
+    texts = ["Vile wort vile", "", "a vile", prose(3, 40)]
+    for k, rows, codes in toxicity._present(pa.array(texts), (4,)):
+        got = {}
+        for row, code in zip(rows.tolist(), codes.tolist()):
+            got.setdefault((row, int(code >> 3).to_bytes(4, "big")), set()).add(code & 7)
+        want = {}
+        for i, t in enumerate(texts):
+            ws = [w.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) for w in t.split()]
+            n = {}
+            for w in ws:
+                z = (" " + w).encode()
+                for j in range(len(z) - 3):
+                    n[z[j : j + 4]] = n.get(z[j : j + 4], 0) + 1
+            for g, c in n.items():
+                want[i, g] = {0} | ({1} if c >= 2 else set()) | {v for v, d in ((2, 120), (3, 40), (4, 15)) if c * d >= len(ws)}
+        assert got == want
+
+
+def test_very_long_texts_and_repeated_documents(spark):
+    long = prose(5, 40_000)
+    rows = [(1, long, "en", "a"), (1, long, "en", "a"), (2, "x" * 300_000, "en", "a"), (3, None, None, None)]
+    docs = documents(spark, rows)
+    found = langid.predict(docs, langid.train(docs)).collect()
+    assert [r["lang_pred"] for r in sorted(found, key=lambda r: r["doc_id"])] == ["en", "en", "en", "und"]
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    assert len(toxicity.score(docs, toxicity.train(docs, labels)).collect()) == 4
+    bench = spark.createDataFrame([(1, prose(5, 40_000)[100_000:100_300])], "item_id long, text string")
+    assert [r["doc_id"] for r in decontam.matches(docs, bench).collect()] == [1, 1]
+    assert sorted(r["doc_id"] for r in decontam.clean(docs, bench).collect()) == [2, 3]
+    pages = spark.createDataFrame([(1, "http://a.com/en/" + "x" * 100_000), (1, "http://a.com/en/" + "x" * 100_000)], "page_id long, url string")
+    assert [r["rule"] for r in urlfilter.judge(pages).collect()] == ["com/en/"] * 2
