@@ -6,7 +6,7 @@ import atexit
 import contextlib
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where the driver is the executor as well.
 LOCAL_DIR = "/tmp/dialoom-shared"
@@ -37,3 +37,10 @@ def own(spark: SparkSession, tag: str) -> str:
     path = f"{shared_dir(spark)}/dialoom-{tag}-{uuid.uuid4().hex[:12]}"
     atexit.register(remove, spark, path)
     return path
+
+
+def saved(rows: DataFrame, tag: str) -> DataFrame:
+    """The rows written below the shared folder and read again, which cuts their lineage."""
+    path = own(rows.sparkSession, tag)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

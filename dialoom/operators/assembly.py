@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from dialoom.functions import fixed
 from dialoom.functions.exact import cuts_below
+from dialoom.operators import rules
 
 
 def utterance_key(turns: DataFrame, content: str = "text") -> DataFrame:
@@ -25,9 +26,19 @@ def first_of_each(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return least.select(*keys, "r.*").select(rows.columns)
 
 
-def resume(new: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
-    """What is new: not already done, and each key once."""
-    return new.join(done.select(keys).distinct(), keys, "left_anti").dropDuplicates(keys)
+def resume(new: DataFrame, done: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """What is new: not already done, and each key once (the first by ``order``)."""
+    rest = new.join(done.select(keys).distinct(), keys, "left_anti").select(new.columns)
+    return first_of_each(rest, keys, order) if order else rest.dropDuplicates(keys)
+
+
+def trackers(calls: DataFrame, turns: DataFrame, short: int = 5, corrected: bool = False) -> tuple[DataFrame, DataFrame]:
+    """What earlier output says of the next prompts: uses of each id ``(id, uses)``, each conversation counting once, and
+    how many conversations are short and long ``(conversations, short, long)``. ``turns`` has a row for each turn."""
+    uses = usage_counts(rules.food_ids(calls, corrected))
+    sizes = turns.groupBy("conv_id").agg(F.count("*").alias("turns"))
+    lengths = sizes.agg(F.count("*").alias("conversations"), F.count_if(F.col("turns") <= short).alias("short"), F.count_if(F.col("turns") > short).alias("long"))
+    return uses, lengths
 
 
 def rank_key(seed: int, *columns: str) -> Column:

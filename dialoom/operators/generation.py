@@ -113,3 +113,22 @@ def sanitized(turns: Column) -> Column:
     owns = lambda t: (t["role"] == "tool") | ((t["role"] == "assistant") & (t["action"] == "tool_call"))
     broken = lambda t: F.when(t["role"] == "tool", F.json_object_keys(t["tool_results"]).isNull()).otherwise(t["tool_results"].isNull())
     return F.transform(turns, lambda t: t.withField("tool_results", F.when(owns(t) & broken(t), F.lit("{}")).otherwise(t["tool_results"])))
+
+
+def accepted(requests: DataFrame, load: Callable[[], Generator], check: Callable[[str], list[str]], done: DataFrame, limits: Limits = Limits()) -> tuple[DataFrame, DataFrame]:
+    """Conversations that a model makes for ``requests(id, prompt)``, as far as they are right and new, and all attempts.
+
+    An answer without errors is read as a line of JSON; one that isn't a conversation is dropped, and so is one whose
+    scenario and key (of its user's texts) are in ``done(scenario_type, key)`` or come from a lower id already. The first
+    result has conv_id, key and a conversation's columns, and goes to ``sources.writers.append``. Attempts should be saved,
+    else a model is asked again whenever they are read.
+    """
+    from dialoom.operators import assembly
+    from dialoom.sources import readers
+
+    attempts = generate(requests, load, check, limits)
+    right = attempts.where(F.size("errors") == 0).select(F.lit("").alias("file"), F.col("id").alias("line_no"), F.col("answer").alias("line"))
+    read = readers.parse_lines(right).where("conv IS NOT NULL").select(F.col("line_no").alias("conv_id"), "conv.*")
+    said = F.transform(F.filter("turns", lambda t: t["role"] == "user"), lambda t: F.coalesce(t["content"], F.lit("")))
+    read = read.withColumn("key", F.substring(F.sha2(F.array_join(said, "|"), 256), 1, 16))
+    return assembly.resume(read, done, ["scenario_type", "key"], "conv_id"), attempts

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from dialoom.operators import assembly, generation
 
 
 def is_retry(line: Column) -> Column:
@@ -28,11 +31,14 @@ def events(lines: DataFrame, text: str = "value") -> DataFrame:
     return lines.select(F.explode(kinds).alias("kind"), F.col(text).alias("value"))
 
 
+# Where a line tells its errors, the first that does.
+MESSAGES = (r"(?d)Validation errors: (.+?)(?:\s*\(backoff|\s*$)", r"(?d)FAIL:.*?-- (.+?)$")
+
+
 def message(line: Column) -> Column:
-    """The errors that a line tells."""
-    first = F.regexp_extract(line, r"(?d)Validation errors: (.+?)(?:\s*\(backoff|\s*$)", 1)
-    second = F.regexp_extract(line, r"(?d)FAIL:.*?-- (.+?)$", 1)
-    return F.trim(F.when(first != "", first).when(second != "", second).otherwise(line))
+    """The errors that a line tells, or the line."""
+    found = [F.nullif(F.regexp_extract(line, p, 1), F.lit("")) for p in MESSAGES]
+    return F.trim(F.coalesce(*found, line))
 
 
 # Texts that vary from line to line, and what stands for them, in order.
@@ -53,20 +59,26 @@ def pattern(error: Column) -> Column:
     return F.replace(F.trim(error), F.lit("Validation errors: "), F.lit(""))
 
 
+# Classes of errors, and the texts that tell them, the first that is there; one of any case.
+CATEGORIES = (
+    ("Hallucinated numbers", "does not match any tool result"),
+    ("Invalid food_id (not in DB)", "not in known IDs"),
+    ("Unit mismatch: 'pcs' on non-piece food", "unit 'pcs' used but food has no piece mode"),
+    ("Unit mismatch: 'g' on non-grams food", "unit 'g' used but food has no grams/ml mode"),
+    ("Conversation too short", "Too short"),
+    ("Network error", "WinError"),
+    ("Network error", "(?i)connection"),
+    ("JSON parse error", "delimiter"),
+    ("JSON parse error", "Expecting"),
+    ("Missing context_block", "missing context_block"),
+)
+
+
 def category(error: Column) -> Column:
     """The class of a normalised error."""
-    has = lambda s: F.contains(error, F.lit(s))
-    return (
-        F.when(has("does not match any tool result"), "Hallucinated numbers")
-        .when(has("not in known IDs"), "Invalid food_id (not in DB)")
-        .when(has("unit 'pcs' used but food has no piece mode"), "Unit mismatch: 'pcs' on non-piece food")
-        .when(has("unit 'g' used but food has no grams/ml mode"), "Unit mismatch: 'g' on non-grams food")
-        .when(has("Too short"), "Conversation too short")
-        .when(has("WinError") | F.contains(F.lower(error), F.lit("connection")), "Network error")
-        .when(has("delimiter") | has("Expecting"), "JSON parse error")
-        .when(has("missing context_block"), "Missing context_block")
-        .otherwise(F.concat(F.lit("Other: "), error))
-    )
+    has = lambda text: error.rlike(text) if text.startswith("(?i)") else F.contains(error, F.lit(text))
+    told = [F.when(has(text), label) for label, text in CATEGORIES]
+    return F.coalesce(*told, F.concat(F.lit("Other: "), error))
 
 
 def errors(found: DataFrame) -> DataFrame:
@@ -89,3 +101,21 @@ def saved(lines: DataFrame, text: str = "value") -> DataFrame:
     """The sum of all ``Saved n/``."""
     found = lines.select(F.explode(F.regexp_extract_all(text, F.lit(r"Saved (\d+)/"), F.lit(1))).alias("n"))
     return found.agg(F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0)).alias("saved"))
+
+
+def most_common(rows: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Counts of each value, the commonest first, of equally common ones that seen first by ``order``: by, n, first_seen, place."""
+    per = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min(order).alias("first_seen"))
+    # a row for each value, of which there are few
+    return per.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "first_seen", *by)))
+
+
+def progress(done: DataFrame, totals: DataFrame, every: int = 5) -> DataFrame:
+    """How far items ``(label, at)`` had come, with ``at`` in seconds, at every so many of them: label, at, done, total,
+    rate (an hour), eta (of the rest, as text; null in the first second). ``totals(label, total)``."""
+    begun = done.groupBy("label").agg(F.min("at").alias("began"))
+    seen = assembly.before(done, ["label"], "at", {"seen": F.lit(1)}).withColumn("done", F.col("seen") + 1).where(F.col("done") % every == 0)
+    rows = seen.join(begun, "label").join(totals, "label")
+    took = F.col("at") - F.col("began")
+    rest = F.greatest(F.lit(0.0), took / F.col("done") * (F.col("total") - F.col("done")))
+    return rows.select("label", "at", "done", "total", F.when(took > 0, F.col("done") / took * 3600).otherwise(0.0).alias("rate"), F.when(took > 1, generation.duration(rest)).alias("eta"))

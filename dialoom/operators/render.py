@@ -104,3 +104,40 @@ def food_line(row: dict[str, Column]) -> Column:
     )
     tag = unit_tag(row["grams"], row["pieces"], row["gram_unit"], row["piece_unit"])
     return F.concat(F.lit("  "), row["id"].cast("string"), F.lit(": "), row["name"], F.lit(" ("), F.when(modes == "", "?").otherwise(modes), F.lit(" = "), row["carbs"].cast("string"), F.lit("g carbs) "), tag)
+
+
+def search_result(food: dict[str, Column]) -> Column:
+    """A food as a search shows it, in JSON; a unit's key is there only if the food has it and its mode."""
+    flag = lambda c: F.when(c, "true").otherwise("false")
+    number = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    text = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    key = lambda name, value: F.concat(F.lit(f'"{name}": '), value)
+    unit = lambda name, mode: F.when(food[mode] & (F.coalesce(food[name], F.lit("")) != ""), key(name, text(food[name])))
+    cells = [key("id", food["id"].cast("string")), key("name", text(food["name"]))]
+    cells += [key(k, number(food[k])) for k in ("carbs_per_100g", "carbs_per_piece")]
+    cells += [key(k, flag(food[k])) for k in ("has_grams_mode", "has_pieces_mode")]
+    cells += [unit("gram_unit", "has_grams_mode"), unit("piece_unit", "has_pieces_mode")]
+    return F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*cells)), ", "), F.lit("}"))
+
+
+def chat_prefix(model: str, prompt: Column) -> Column:
+    """How a chat begins: the marker and the system turn."""
+    f = fixed.CHATML if model == "chatml" else fixed.GEMMA
+    return F.concat(F.lit(f["bos"]), _turn(model, F.lit("system"), prompt))
+
+
+def chat_user(model: str, said: Column, context: Column) -> Column:
+    """A user's turn with the context that goes with it."""
+    return _turn(model, F.lit("user"), F.concat(said, F.lit("\n\n"), context))
+
+
+def chat_assistant(model: str) -> str:
+    """What the model is to go on from."""
+    f = fixed.CHATML if model == "chatml" else fixed.GEMMA
+    return f"{f['open']}{'assistant' if model == 'chatml' else 'model'}\n"
+
+
+def chat_result(model: str, result: Column) -> Column:
+    """A tool's result, in the format that rendered conversations have."""
+    shown = result if model == "chatml" else F.concat(F.lit(fixed.GEMMA["results"] + "\n"), result)
+    return _turn(model, F.lit("tool"), shown)

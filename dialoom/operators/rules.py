@@ -76,6 +76,19 @@ def added_ids(calls: DataFrame) -> DataFrame:
     return items.select("conv_id", "turn", "call", "item", F.col("i.food_id").alias("id"), F.col("i.unit").alias("unit"))
 
 
+def food_ids(calls: DataFrame, corrected: bool = False) -> DataFrame:
+    """Foods that conversations name, each once: conv_id, id (text). By default what calls search for, and a ``food_id``
+    that an addition itself has; ``corrected`` takes the ids of the added items instead of that."""
+    searched = F.when(F.col("name") == fixed.SEARCH, F.from_json("arguments", ARGUMENTS)["queries"])
+    if corrected:
+        added = F.transform(F.from_json("arguments", ARGUMENTS)["items"], lambda i: i["food_id"].cast("string"))
+    else:
+        own = F.get_json_object("arguments", "$.food_id")
+        added = F.when(~F.coalesce(own.isin("", "0", "false"), F.lit(True)), F.array(own))
+    found = F.coalesce(searched, F.when(F.col("name") == fixed.ADD, added))
+    return calls.select("conv_id", F.explode(found).alias("id")).where("id IS NOT NULL").distinct()
+
+
 def unit_errors(items: DataFrame, foods: DataFrame) -> DataFrame:
     """Items ``(…, id, unit)`` whose unit the food has no quantity for; unknown foods and units are passed over."""
     dim = foods.select("id", F.col("name").alias("food"), "has_grams_mode", "has_pieces_mode")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dialoom.functions import fixed
+from dialoom.functions.exact import fixed_sql
 
 
 def final_result(text: Column) -> Column:
@@ -59,12 +60,14 @@ def choose(scores: DataFrame, preferred: str) -> DataFrame:
 
 
 def gold(turns: DataFrame) -> DataFrame:
-    """What a rendered conversation's parsed turns ``(conv_id, turn, role, content, name)`` say: number of calls, whether
-    the first assistant turn asks back, the last text without a call."""
-    said = turns.where("role = 'assistant'")
-    first = F.min(F.struct("turn", is_clarification(F.col("content")).alias("asks")))
-    last = F.max(F.when(F.col("name").isNull(), F.struct("turn", "content")))
-    return said.groupBy("conv_id").agg(F.count("name").alias("calls"), first["asks"].alias("asks"), last["content"].alias("final_text"))
+    """What a rendered conversation's parsed turns ``(conv_id, turn, role, content, name)`` say: number of calls, whether a
+    turn asks back, the last text that neither calls, asks nor tells results, and the turns that tell results in order."""
+    said = F.col("role") == "assistant"
+    asks = said & F.col("name").isNull() & is_clarification(F.col("content"))
+    told = (F.col("role") == "tool") | (said & F.col("name").isNull() & ~asks & F.startswith("content", F.lit(fixed.GEMMA["results"])))
+    last = F.max(F.when(said & F.col("name").isNull() & ~asks & ~told, F.struct("turn", "content")))
+    results = F.transform(F.array_sort(F.collect_list(F.when(told, F.struct("turn", "role", "content")))), lambda t: F.struct(t["role"], t["content"]))
+    return turns.groupBy("conv_id").agg(F.count(F.when(said, F.col("name"))).alias("calls"), F.coalesce(F.max(asks), F.lit(False)).alias("asks"), last["content"].alias("final_text"), results.alias("results"))
 
 
 def prompt_prefix(text: Column, model: str) -> Column:
@@ -74,7 +77,7 @@ def prompt_prefix(text: Column, model: str) -> Column:
     return F.when(at > 0, F.substring(text, F.lit(1), at - 1))
 
 
-def report(scores: dict[str, float], total: float) -> str:
-    shares = {k: f"{w:.0%}" for k, w in fixed.WEIGHTS.items()}
-    lines = [f"{k}: {scores[k]:.3f} (weight {shares[k]})" for k in fixed.WEIGHTS]
-    return "\n".join([*lines, f"weighted score: {total:.4f}"])
+def report(scores: DataFrame) -> DataFrame:
+    """Adds ``report`` to rows that have a column for each metric and ``score``: a line for each, with its weight, and the sum."""
+    lines = [F.concat(F.lit(f"{k}: "), F.expr(fixed_sql(k, 3)), F.lit(f" (weight {w:.0%})")) for k, w in fixed.WEIGHTS.items()]
+    return scores.withColumn("report", F.concat_ws("\n", *lines, F.concat(F.lit("weighted score: "), F.expr(fixed_sql("score", 4)))))

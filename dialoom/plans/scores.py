@@ -76,6 +76,20 @@ def error_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.errors(logs.events(_lines(spark, sf_dir))).groupBy("category", "error").agg(F.count("*").alias("n"))
 
 
+def most_common_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error classes and users' event kinds from the commonest on, of equally common ones that seen first."""
+    rows = table(spark, sf_dir, "events").select((F.col("user_id") % 40).alias("u"), "event_type", "event_id")
+    return logs.most_common(rows, ["u", "event_type"], "event_id")
+
+
+def progress_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far events of each kind had come at every hundredth, their rate and the time that was left."""
+    at = F.timestamp_diff("MICROSECOND", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz")) / 1e6
+    done = table(spark, sf_dir, "events").select(F.col("event_type").alias("label"), at.alias("at"))
+    totals = done.groupBy("label").agg((F.count("*") + 10).alias("total"))
+    return logs.progress(done, totals, 100).withColumn("rate", F.round("rate", 6))
+
+
 def retry_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retries and failures by scenario, language and depth."""
     return logs.counters(logs.events(_lines(spark, sf_dir)))
@@ -88,7 +102,7 @@ def saved_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.saved(rows).crossJoin(kinds)
 
 
-QUERIES = {f.__name__: f for f in (eval_metrics, weighted_score, model_choice, final_results, settings_audit, error_categories, retry_counters, saved_total)}
+QUERIES = {f.__name__: f for f in (eval_metrics, weighted_score, model_choice, final_results, settings_audit, error_categories, most_common_errors, progress_rates, retry_counters, saved_total)}
 
 _EVAL = """r AS (SELECT source, count(*) AS total, count(*) FILTER (quality = CAST(n_chars > 600 AS INTEGER)) AS good, count(*) FILTER (toxic = 1) AS toxic, count(*) FILTER (toxic = 1 AND n_chars > 600) AS tr
     FROM labels JOIN documents USING (doc_id) GROUP BY source), m AS (SELECT source, good::DOUBLE / total AS accuracy, coalesce(tr::DOUBLE / nullif(toxic, 0), 0) AS toxic_recall FROM r)"""
@@ -119,6 +133,14 @@ ORACLE_SQL = {
               UNION ALL SELECT unnest(['Conversation too short', 'Invalid food_id (not in DB)']), unnest(['Too short: ~N tokens', 'food_id N not in known IDs: {{...}}']) FROM e WHERE kind = 'click'
               UNION ALL SELECT 'JSON parse error', regexp_replace(value, 'line 1 column [0-9]+', 'line N column N') FROM e WHERE kind = 'view')
         SELECT category, error, count(*) AS n FROM x GROUP BY ALL""",
+    "most_common_errors": """
+        WITH c AS (SELECT user_id % 40 AS u, event_type, count(*) AS n, min(event_id) AS first_seen FROM events GROUP BY ALL)
+        SELECT *, CAST(row_number() OVER (ORDER BY n DESC, first_seen) AS INTEGER) AS place FROM c""",
+    "progress_rates": """
+        WITH r AS (SELECT event_type AS label, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 1e6::DOUBLE AS "at" FROM events),
+        d AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY "at") AS done, min("at") OVER (PARTITION BY label) AS b, count(*) OVER (PARTITION BY label) + 10 AS total FROM r),
+        x AS (SELECT *, CAST(floor(greatest(0::DOUBLE, ("at" - b) / done * (total - done))) AS BIGINT) AS s FROM d WHERE done % 100 = 0)
+        SELECT label, "at", done, total, round(done / ("at" - b) * 3600, 6) AS rate, CASE WHEN s >= 3600 THEN s // 3600 || 'h ' || s % 3600 // 60 || 'm ' || s % 60 || 's' WHEN s >= 60 THEN s // 60 || 'm ' || s % 60 || 's' ELSE s || 's' END AS eta FROM x""",
     "retry_counters": f"""
         WITH {_E}, k AS (SELECT unnest(['scenario', 'language', 'depth']) AS what, unnest(['SCENARIO_' || user_id % 4, CASE user_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'de' ELSE 'el' END,
             CASE kind WHEN 'error' THEN 'FAIL (all 3 exhausted)' WHEN 'view' THEN 'retry 1/3' ELSE 'retry ' || event_id % 3 + 1 || '/3' END]) AS key FROM e)

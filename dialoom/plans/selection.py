@@ -22,8 +22,7 @@ def user_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resume_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations whose key isn't among those already done (every third id)."""
     keys = _keys(spark, sf_dir)
-    done = keys.where("conv_id % 3 = 0")
-    return assembly.first_of_each(keys.where("conv_id % 3 <> 0").join(done.select("key").distinct(), "key", "left_anti").select("conv_id", "key"), ["key"], "conv_id")
+    return assembly.resume(keys.where("conv_id % 3 <> 0"), keys.where("conv_id % 3 = 0"), ["key"], "conv_id")
 
 
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +43,7 @@ def quota_even(spark: SparkSession, sf_dir: str) -> DataFrame:
     some = list(fixed.SCENARIOS)[:5]
     names = F.array(*map(F.lit, fixed.SCENARIOS))
     have = table(spark, sf_dir, "conversations").where("turn = 0").select(F.element_at(names, (F.pmod("conv_id", F.lit(12)) + 1).cast("int")).alias("scenario"))
-    quotas = assembly.quota(spark, 23, have.limit(0), some)
+    quotas = assembly.quota(spark, 123, have, some)
     places = table(spark, sf_dir, "nation").select(F.col("n_name").alias("language"))
     return assembly.work(quotas, places).groupBy("language", "scenario").agg(F.count("*").alias("n"))
 
@@ -66,11 +65,11 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def usage_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of twenty parts drawn at random, those used most and least by orders."""
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("conv_id"), F.col("l_partkey").alias("id"))
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-    drawn = assembly.sample(parts, 20, "id", 7)
-    return assembly.usage_extremes(assembly.usage_counts(lines), drawn)
+    """Of forty kinds of parts those that orders use most and least; a few kinds have nearly all uses, some none."""
+    kind = F.when(F.col("l_partkey") % 2 == 0, F.col("l_partkey") % 7).otherwise(F.col("l_partkey") % 26)
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("conv_id"), kind.alias("id"))
+    kinds = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 40).alias("id")).agg(F.min("p_name").alias("name"))
+    return assembly.usage_extremes(assembly.usage_counts(lines), kinds)
 
 
 def first_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +98,9 @@ ORACLE_SQL = {
         t AS (SELECT scenario, CASE WHEN i = 11 THEN 800 - (SELECT sum(rounded) FROM r WHERE i < 11) ELSE rounded END AS target FROM r)
         SELECT scenario, CAST(target AS BIGINT) AS target, coalesce(existing, 0) AS existing, CAST(greatest(0, target - coalesce(existing, 0)) AS BIGINT) AS to_make FROM t LEFT JOIN h USING (scenario)""",
     "quota_even": f"""
-        WITH d(i, scenario, w) AS (VALUES {_DIM}) SELECT n_name AS language, scenario, CAST(23 // 5 + CASE WHEN i < 23 % 5 THEN 1 ELSE 0 END AS BIGINT) AS n FROM d, nation WHERE i < 5""",
+        WITH d(i, scenario, w) AS (VALUES {_DIM}), h AS (SELECT conv_id % 12 AS i, count(*) AS n FROM conversations WHERE turn = 0 GROUP BY 1),
+        m AS (SELECT scenario, 123 // 5 + CASE WHEN i < 123 % 5 THEN 1 ELSE 0 END - coalesce(h.n, 0) AS n FROM d LEFT JOIN h USING (i) WHERE i < 5)
+        SELECT n_name AS language, scenario, CAST(n AS BIGINT) AS n FROM m, nation WHERE n > 0""",
     "settings_rotation": "SELECT doc_id, source, CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) % 5 AS INTEGER) AS user_settings_idx FROM documents",
     "length_bias": """
         WITH r AS (SELECT doc_id, coalesce(sum(CASE WHEN n_chars % 10 <= 5 THEN 1 ELSE 0 END) OVER w, 0) AS s, count(*) OVER w AS n
@@ -108,8 +109,8 @@ ORACLE_SQL = {
                CASE WHEN n < 3 THEN 'none' WHEN s::DOUBLE / n > 0.6::DOUBLE THEN 'long' WHEN s::DOUBLE / n < 0.4::DOUBLE THEN 'short' ELSE 'balanced' END AS bias FROM r""",
     "hash_sample": "SELECT doc_id, lang FROM documents ORDER BY sha256('42|' || doc_id), doc_id LIMIT 500",
     "usage_extremes": """
-        WITH c AS (SELECT l_partkey AS id, count(DISTINCT l_orderkey) AS uses FROM lineitem GROUP BY 1),
-        s AS (SELECT p_partkey AS id, p_name AS name FROM part ORDER BY sha256('7|' || p_partkey), p_partkey LIMIT 20),
+        WITH c AS (SELECT CASE WHEN l_partkey % 2 = 0 THEN l_partkey % 7 ELSE l_partkey % 26 END AS id, count(DISTINCT l_orderkey) AS uses FROM lineitem GROUP BY 1),
+        s AS (SELECT p_partkey % 40 AS id, min(p_name) AS name FROM part GROUP BY 1),
         r AS (SELECT s.id, name, coalesce(uses, 0) AS uses, greatest(1, CAST(floor(greatest(1, (SELECT sum(uses) FROM c)) * 0.04::DOUBLE) AS BIGINT)) AS t FROM s LEFT JOIN c USING (id)),
         o AS (SELECT 'avoid' AS kind, id, name, uses FROM r WHERE uses >= t ORDER BY uses DESC, id LIMIT 8),
         u AS (SELECT 'prefer' AS kind, id, name, uses FROM r WHERE uses <= 1 ORDER BY id LIMIT 12),

@@ -15,15 +15,19 @@ def _folder(spark: SparkSession) -> str:
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as they would arrive: the table read as a stream of files."""
-    path = f"{sf_dir}/events.parquet"
+    return stream_of(spark, sf_dir, "events")
+
+
+def stream_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table's rows as they would arrive: the table read as a stream of files."""
+    path = f"{sf_dir}/{name}.parquet"
     schema = spark.read.parquet(path).schema
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     reader = spark.readStream.schema(schema)
     if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
         return reader.parquet(path)
-    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def rate_limit_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +50,13 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.to_table(counted, spark, _folder(spark), "complete")
 
 
+def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each kind in tumbling hours that the watermark has closed, each given off once."""
+    rows = _stream(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "event_type", F.floor("value").cast("long").alias("tokens"))
+    got = streams.to_table(streams.windowed(rows, ["event_type"]), spark, _folder(spark))
+    return got.select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n", "tokens")
+
+
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appends what isn't there yet, twice: the second time nothing is new."""
     folder = _folder(spark)
@@ -68,7 +79,7 @@ def session_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select("user_id", "s.events", F.round("s.total", 4).alias("total"), "s.last_type")
 
 
-QUERIES = {f.__name__: f for f in (rate_limit_window, stream_dedup, stream_windows, stream_resume, session_state)}
+QUERIES = {f.__name__: f for f in (rate_limit_window, stream_dedup, stream_windows, stream_watermark, stream_resume, session_state)}
 
 ORACLE_SQL = {
     "rate_limit_window": """
@@ -77,6 +88,9 @@ ORACLE_SQL = {
         SELECT *, in_window <= 3 AND tokens_in_window <= 60 AS admitted FROM w""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS tokens FROM events GROUP BY ALL",
+    "stream_watermark": """
+        WITH r AS (SELECT date_trunc('hour', ts) AS h, event_type, count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS tokens FROM events GROUP BY ALL)
+        SELECT strftime(h, '%Y-%m-%d %H') AS hour, event_type, n, tokens FROM r WHERE h + INTERVAL 1 HOUR <= date_trunc('milliseconds', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE""",
     "stream_resume": "SELECT DISTINCT user_id, event_type FROM events",
     "session_state": "SELECT user_id, count(*) AS events, round(sum(value), 4) AS total, arg_max(event_type, (ts, event_id)) AS last_type FROM events GROUP BY user_id",
 }

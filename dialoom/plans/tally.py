@@ -56,7 +56,22 @@ def tally_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def final_dose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dose of each order and how it came about."""
     rows = _replayed(spark, sf_dir).select("conv_id", F.element_at("outputs", 5).alias("o"))
-    return rows.select("conv_id", *(f"o.{c}" for c in ("error", "tally_total", "meal_time", "meal_divider", "food_insulin", "glucose_correction", "glucose_skipped", "final_result", "breakdown_food")))
+    return rows.select("conv_id", *(f"o.{c}" for c in ("error", "tally_total", "meal_time", "meal_divider", "food_insulin", "glucose_correction", "glucose_skipped", "final_result", "breakdown_food", "breakdown_glucose")))
+
+
+def tally_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is told of an order's tally before and after all is cleared, and that entries are numbered anew then."""
+    p = prepared(spark, sf_dir)
+    call = lambda seq, tool, items="NULL": f"CAST(named_struct('seq', {seq}L, 'name', '{tool}', 'found', array(), 'items', {items}, 'entry_ids', NULL, 'meal_time', NULL, 'meal_hour', NULL, 'blood_glucose', NULL) AS {harness.CALL})"
+    again = "transform(array(1), x -> calls[0])"
+    more = ", ".join([call(2, fixed.SUMMARY), call(3, fixed.CLEAR), call(4, fixed.SUMMARY)])
+    rows = p.withColumn("calls", F.expr(f"concat(slice(calls, 1, 2), array({more}), {again}, transform(array(1), x -> calls[3]))"))
+    got = harness.replay(rows, harness.settings(spark).withColumnRenamed("idx", "pool_idx")).withColumn("o", F.col("outputs"))
+    at = lambda i: F.element_at("o", i)
+    return got.select(
+        "conv_id", F.size(at(3)["entries"]).alias("entries"), at(3)["tally_total"].alias("total"), at(3)["food_insulin"].alias("insulin"), F.size(at(5)["entries"]).alias("cleared_entries"), at(5)["tally_total"].alias("cleared_total"),
+        F.get(at(7)["entries"], 0)["entry_id"].alias("first_id"),
+    )
 
 
 def context_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +87,7 @@ def math_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.math_errors(made, stated).select("conv_id", "seq", "name", "key")
 
 
-QUERIES = {f.__name__: f for f in (tally_replay, final_dose, context_blocks, math_check)}
+QUERIES = {f.__name__: f for f in (tally_replay, final_dose, tally_summary, context_blocks, math_check)}
 
 # entries of an order: made by the first call (ids 1 to n), less the first if removed, then one more by the third call
 _REPLAY = f"""
@@ -107,7 +122,11 @@ ORACLE_SQL = {
         x AS (SELECT *, s3 / divider AS food, CASE WHEN bg >= threshold THEN greatest(0::DOUBLE, (bg - baseline) / divisor) ELSE 0::DOUBLE END AS corr FROM d)
         SELECT conv_id, CASE WHEN NOT ok THEN 'Add at least one food first.' END AS error, CASE WHEN ok THEN {py_round_sql("s3")} END AS tally_total, CASE WHEN ok THEN meal_time END AS meal_time, CASE WHEN ok THEN divider END AS meal_divider,
                CASE WHEN ok THEN {py_round_sql("food")} END AS food_insulin, CASE WHEN ok THEN {py_round_sql("corr")} END AS glucose_correction, CASE WHEN ok THEN NOT coalesce(bg >= threshold, false) END AS glucose_skipped,
-               CASE WHEN ok THEN {py_round_sql("(food + corr)")} END AS final_result, CASE WHEN ok THEN {fixed_sql("s3")} || 'g / ' || divider || ' = ' || {fixed_sql("food")} || 'U' END AS breakdown_food FROM x""",
+               CASE WHEN ok THEN {py_round_sql("(food + corr)")} END AS final_result, CASE WHEN ok THEN {fixed_sql("s3")} || 'g / ' || divider || ' = ' || {fixed_sql("food")} || 'U' END AS breakdown_food,
+               CASE WHEN ok THEN CASE WHEN bg >= threshold THEN '(' || bg || ' - ' || baseline || ') / ' || divisor || ' = ' || {fixed_sql("corr")} || 'U' WHEN bg IS NOT NULL THEN 'BG ' || bg || ' < ' || threshold || ' threshold, correction skipped' ELSE '' END END AS breakdown_glucose FROM x""",
+    "tally_summary": f"""
+        WITH {_REPLAY}
+        SELECT conv_id, CAST(len(t1) AS INTEGER) AS entries, s1 AS total, 0::DOUBLE AS insulin, 0 AS cleared_entries, 0::DOUBLE AS cleared_total, CASE WHEN err3 IS NULL THEN 1 END AS first_id FROM h""",
     "context_blocks": f"""
         WITH {_REPLAY}
         SELECT conv_id, CASE WHEN len(t3) = 0 THEN '[CURRENT TALLY: empty]' || chr(10) || '[KNOWN FOOD IDS: none]' ELSE '[CURRENT TALLY: ' || len(t3) || ' items, ' || {fixed_sql("s3", 1)} || 'g total]' || chr(10)

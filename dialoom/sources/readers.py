@@ -6,8 +6,9 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dialoom.functions import foodtext
 from dialoom.functions.exact import strip
@@ -95,23 +96,41 @@ _TURN = pa.struct([("role", pa.string()), ("content", pa.string()), ("action", p
 _CONV = pa.struct([("scenario_type", pa.string()), ("language", pa.string()), ("turns", pa.list_(_TURN)), ("user_settings_idx", pa.int32())])
 
 
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """All lines with their file's path and their number in it, from 0: path, line_no, value.
+
+    A file is read in splits. Lines of a split are numbered by their place in it; the lines of the splits before are
+    counted in a pass of their own, which reads no text into rows, and added.
+    """
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("m"), "value")
+    per = raw.groupBy("path", "split").agg(F.min("m").alias("first"), F.count("*").alias("n"))
+    over = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("path", "split", "first", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("before"))  # a row for each split
+    return raw.join(per, ["path", "split"]).select("path", (F.col("before") + F.col("m") - F.col("first")).alias("line_no"), "value")
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines that aren't blank, with the name of their file (without its ending) and a number that orders them in it."""
-    text = spark.read.text(path).where(strip(F.col("value")) != "")
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1)
-    return text.select(name.alias("file"), F.monotonically_increasing_id().alias("line_no"), strip(F.col("value")).alias("line"))
+    """Lines that aren't blank, with the name of their file (without its ending) and their number in it, from 0."""
+    name = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
+    return numbered(spark, path).where(strip(F.col("value")) != "").select(name.alias("file"), "line_no", strip(F.col("value")).alias("line"))
+
+
+def parse_lines(rows: DataFrame) -> DataFrame:
+    """Lines ``(file, line_no, line)`` with the conversation each holds, or what is wrong with it: adds conv, error."""
+    kind = dict(rows.dtypes)["line_no"]
+    return rows.select("file", "line_no", "line").mapInArrow(_read_turns, f"file string, line_no {kind}, line string, conv struct<{CONVERSATION}>, error string")
 
 
 def conversations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Tolerant scan: conversations, and broken lines with what is wrong with them."""
-    read = lines(spark, path).mapInArrow(_read_turns, f"file string, line_no long, line string, conv struct<{', '.join(CONVERSATION.split(', '))}>, error string")
+    read = parse_lines(lines(spark, path))
     good = read.where("conv is not null").select("file", "line_no", "conv.*")
     return good, read.where("conv is null").select("file", "line_no", "line", "error")
 
 
 def strict_conversations(spark: SparkSession, path: str) -> DataFrame:
     """As ``conversations``, but a broken line is an error when it is read."""
-    read = lines(spark, path).mapInArrow(_read_turns, f"file string, line_no long, line string, conv struct<{CONVERSATION}>, error string")
+    read = parse_lines(lines(spark, path))
     checked = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.col("file"), F.lit(": "), F.col("error"))).cast("string"))
     return read.where(checked.isNull()).select("file", "line_no", "conv.*")
 
@@ -123,9 +142,9 @@ def raw_json(spark: SparkSession, path: str, scenarios: list[str] | None = None)
     return rows.where(F.col("scenario_type").isin(scenarios)) if scenarios else rows
 
 
-def rendered(spark: SparkSession, folder: str, splits: tuple[str, ...] = ("train", "eval")) -> DataFrame:
-    """Rendered examples of all splits: split, text."""
-    parts = [spark.read.schema("text string").json(f"{folder}/{s}.jsonl").select(F.lit(s).alias("split"), "text") for s in splits]
+def rendered(spark: SparkSession, folder: str, splits: tuple[str, ...] = ("train", "eval"), name: str = "{}.jsonl") -> DataFrame:
+    """Rendered examples of all splits: split, text. ``name`` makes a split's file or folder, such as ``split={}``."""
+    parts = [spark.read.schema("text string").json(f"{folder}/{name.format(s)}").select(F.lit(s).alias("split"), "text") for s in splits]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -137,6 +156,29 @@ def prefix(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+# Speakers of other collections, and their roles here.
+SPEAKERS = {"human": "user", "gpt": "assistant", "system": "system"}
+
+
+def standardised(said: Column) -> Column:
+    """An array of turns ``(from, value)`` as turns ``(role, content)``; a speaker that isn't known keeps its name."""
+    role = lambda t: F.coalesce(F.create_map(*(F.lit(x) for pair in SPEAKERS.items() for x in pair))[t["from"]], t["from"])
+    return F.transform(said, lambda t: F.struct(role(t).alias("role"), t["value"].alias("content")))
+
+
+_foods: dict[tuple, DataFrame] = {}
+
+
+def cached_foods(spark: SparkSession, folder: str, languages: list[str] | None = None, most: int = 32) -> DataFrame:
+    """As ``foods``, kept in memory by the executors; of the last ``most`` folders and languages asked for."""
+    key = (spark.sparkContext.applicationId, folder, tuple(languages or ()))
+    if key not in _foods:
+        while len(_foods) >= most:
+            _foods.pop(next(iter(_foods))).unpersist()
+        _foods[key] = foods(spark, folder, languages).cache()
+    return _foods[key]
+
+
 def log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import logging
+import logging.handlers
+import os
+import sys
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,3 +60,32 @@ def report(sections: list[tuple[str, list[str]]], path: str, spark: SparkSession
 def with_settings(df: DataFrame, index: str = "user_settings_idx") -> DataFrame:
     """The column of assigned settings, 0 where none is."""
     return df.withColumn(index, F.coalesce(F.col(index), F.lit(0)))
+
+
+#: Bytes after which a log file is begun anew, and days that old ones are kept.
+LOG_BYTES, LOG_DAYS = 10_000_000, 7
+
+
+def logger(path: str | None = None, verbose: bool = False, trace: bool = False) -> logging.Logger:
+    """The driver's log: on the console, and in a file whose lines read as ``operators.logs`` takes them."""
+    out = logging.getLogger("dialoom")
+    for h in list(out.handlers):
+        out.removeHandler(h)
+        h.close()
+    out.setLevel(1 if trace else logging.DEBUG)
+    out.propagate = False
+    console = logging.StreamHandler(sys.stderr)
+    console.setLevel(logging.DEBUG if verbose else logging.INFO)
+    console.setFormatter(logging.Formatter("%(asctime)s.%(msecs)03d | %(levelname)-8s | %(message)s", "%H:%M:%S"))
+    out.addHandler(console)
+    if path:
+        folder = os.path.dirname(path) or "."
+        os.makedirs(folder, exist_ok=True)
+        for name in os.listdir(folder):
+            old = os.path.join(folder, name)
+            if name.startswith(os.path.basename(path) + ".") and os.path.getmtime(old) < time.time() - LOG_DAYS * 86_400:
+                os.remove(old)
+        file = logging.handlers.RotatingFileHandler(path, maxBytes=LOG_BYTES, backupCount=1000, encoding="utf-8")
+        file.setFormatter(logging.Formatter("%(asctime)s.%(msecs)03d | %(levelname)-8s | %(name)s:%(funcName)s:%(lineno)d | %(message)s", "%Y-%m-%d %H:%M:%S"))
+        out.addHandler(file)
+    return out

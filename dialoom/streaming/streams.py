@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
@@ -85,3 +87,29 @@ def _session(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> It
 def sessions(stream: DataFrame) -> DataFrame:
     """State of each user's session after each batch: events, total value, last type. ``stream(user_id, event_id, ts, event_type, value)``."""
     return stream.groupBy("user_id").applyInPandasWithState(_session, SESSION, "n long, total double, last string, at string", "update", GroupStateTimeout.NoTimeout)
+
+
+class _Transcript(StatefulProcessor):
+    """Keeps the text of a session; what is said is added in order, and a message without a piece begins it anew."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.text = handle.getValueState("text", T.StructType([T.StructField("text", T.StringType())]))
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        text = self.text.get()[0] if self.text.exists() else None
+        for r in sorted(rows, key=lambda r: r["seq"]):
+            text = r["prefix"] if r["piece"] is None else (r["prefix"] if text is None else text) + r["piece"]
+        self.text.update((text,))
+        yield Row(session=key[0], text=text)
+
+    def close(self) -> None:
+        pass
+
+
+#: The state store that transcripts need.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def transcripts(stream: DataFrame) -> DataFrame:
+    """Each session's text after each batch: session, text. ``stream(session, seq, prefix, piece)``: a null piece clears."""
+    return stream.groupBy("session").transformWithState(_Transcript(), "session long, text string", "Update", "None")
