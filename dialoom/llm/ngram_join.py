@@ -15,6 +15,7 @@ Documents become sets of word shingles; two link when ``den * |x & y| >= num * |
   sizes or prefix positions cannot reach the needed overlap are skipped as a whole. The pairs of blocks of a
   long list are dealt over all tasks.
 * Pairs that survive parity bitmaps (a lower bound of the symmetric difference) are verified on the sets.
+* Components tell which sets may link; how many links each set has is derived from a similar set's (``links``).
 
 Sets are identified by a 64-bit hash of their 64-bit shingle hashes.
 """
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm import wordhash
+from dialoom.llm import links, wordhash
 from dialoom.llm.shared import Scratch, components, partitions
 
 #: Most ids that are broadcast to pick documents for verification (about 64 MB); beyond it, a shuffled join.
@@ -453,19 +454,21 @@ def _rest(scratch: Scratch, sets: DataFrame, members: DataFrame, lead: DataFrame
     return pairs
 
 
-def join(spark: SparkSession, docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: ``doc_id, n_shingles, component_id``.
+def join(spark: SparkSession, docs: DataFrame, rule: Rule = Rule(), count_links: bool = True) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: ``doc_id, n_shingles, component_id, n_links``.
 
-    ``component_id`` is the smallest doc_id reachable by links, the row's own included. Null or blank text
-    has no shingles and links with nothing. Rows with a null doc_id are returned with a null component.
+    ``component_id`` is the smallest doc_id reachable by links, the row's own included, and ``n_links`` the number of
+    other rows that the row links with (left out unless ``count_links``). Null or blank text
+    has no shingles and links with nothing. Rows with a null doc_id are returned with a null component and number.
     Repeated ids are separate rows whose sets join as any others. Other columns of ``docs`` are ignored.
     """
     scratch, parts = Scratch(spark, "ngram"), partitions(spark)
     docs = docs.select("doc_id", "text")
     heavy = _heavy(docs, rule)
     rows = scratch.save(docs.mapInArrow(_describe(rule, heavy), "doc_id long, id long, n int, prefix array<long>, bits binary"), "rows")
-    one = rows.where("n > 0 and doc_id is not null").groupBy("id").agg(F.min(F.struct("doc_id", "n", "prefix", "bits")).alias("m"))
-    sets = scratch.save(one.select("id", F.col("m.doc_id").alias("doc"), "m.n", "m.prefix", "m.bits"), "reps")
+    one = rows.where("n > 0 and doc_id is not null").groupBy("id").agg(F.min(F.struct("doc_id", "n", "prefix", "bits")).alias("m"), F.count("*").alias("copies"))
+    sets = scratch.save(one.select("id", F.col("m.doc_id").alias("doc"), "m.n", "m.prefix", "m.bits", "copies"), "reps")
+    scratch.reclaim()
     # by ranges, so that a long list is cut over several tasks
     index = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token")).repartitionByRange(parts, "token", "n", "id").sortWithinPartitions("token", "n", "id")
     lists = scratch.save(index.select("token", "id", "n", "pos").mapInArrow(_lists(rule), "token long, id long, n int, pos int"), "lists")
@@ -484,21 +487,39 @@ def join(spark: SparkSession, docs: DataFrame, rule: Rule = Rule()) -> DataFrame
             comps = components(scratch, _links(found, rule), f"near{number}")
             members = scratch.save(lists.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), f"members{number}")
         scratch.drop(f"mixed{number}")
+        del some, own, pairs, new
+        scratch.reclaim()
         if not gained:
             break
     late = _verify(scratch, docs, sets, _rest(scratch, sets, members, lead, found, rule, parts), rule, "late")
+    scratch.reclaim()
     if not _links(late, rule).isEmpty():
         comps = components(scratch, _links(found.union(late), rule), "all")
+    if count_links:
+        members = sets.join(comps, "id").select("id", "comp", "n", "copies")
+        many = comps.groupBy("comp").count().where("count > 2").select("comp")
+        need = scratch.save(sets.join(comps.join(many, "comp"), "id").select(F.col("doc").alias("doc_id")).distinct(), "links-need")
+        small = need.count() <= BROADCAST_IDS
+        texts = docs.join(F.broadcast(need) if small else need, "doc_id", "left_semi").select("text")
+        full = scratch.save(texts.mapInArrow(_full_sets(rule.size), "id long, set binary").dropDuplicates(["id"]), "links-sets")
+        degrees = links.counts(scratch, members, _links(found.union(late), rule), full, rule.num, rule.den)
+        scratch.drop("links-need", "links-sets")
+        scratch.reclaim()
     grouped = sets.select("id", "doc").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     least = grouped.groupBy("comp").agg(F.min("doc").alias("component_id"))
-    final = scratch.save(grouped.join(least, "comp").select("id", "component_id"), "final")
+    final = grouped.join(least, "comp").select("id", "component_id")
+    if count_links:
+        own_copies = sets.select("id", (F.col("copies") - 1).alias("others"))
+        final = final.join(own_copies, "id").join(degrees, "id", "left").select("id", "component_id", (F.col("others") + F.coalesce("links", F.lit(0))).alias("n_links"))
+    final = scratch.save(final, "final")
     slim = scratch.save(rows.select("doc_id", "id", F.col("n").cast("long").alias("n_shingles")), "slim")
-    scratch.drop("rows", "reps", "lists", "rest", "late-found", "all-out")
+    scratch.drop("rows", "reps", "lists", "rest", "late-found", "all-out", "links-out")
     for number in range(1, ROUNDS + 1):
         scratch.drop(*(f"{x}{number}{y}" for x, y in (("star", "-found"), ("near", "-out"), ("members", ""), ("lead", ""))))
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     out = slim.join(final, "id", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+    degree = [F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("n_links")).otherwise(0)).alias("n_links")] if count_links else []
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"), *degree)
 
 
 def representatives(spark: SparkSession, docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -506,7 +527,7 @@ def representatives(spark: SparkSession, docs: DataFrame, rule: Rule = Rule()) -
 
     Ids are taken to be unique, but of wholly equal rows one stays. Rows without shingles or with a null id stay.
     """
-    found = join(spark, docs, rule)
+    found = join(spark, docs, rule, count_links=False)
     losers = found.where("component_id <> doc_id").select("doc_id").distinct()
     small = losers.count() <= BROADCAST_IDS
     kept = docs.join(F.broadcast(losers) if small else losers, "doc_id", "left_anti").select(docs.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ class Scratch:
         for name in names:
             folders.remove(self.spark, self.path(name))
 
+    def reclaim(self) -> None:
+        """Have the shuffles of jobs that are over cleaned, whose files stay until the driver collects its garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def partitions(spark: SparkSession) -> int:
     """Partitions of a shuffle dealt out by key, as the session sets them."""

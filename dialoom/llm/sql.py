@@ -57,5 +57,5 @@ x AS (SELECT doc_id, unnest(ss) AS g FROM s),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 e AS (SELECT a, b FROM p JOIN n u ON u.doc_id = a JOIN n v ON v.doc_id = b WHERE 100 * shared >= 90 * (u.n + v.n - shared)),
 r AS (SELECT doc_id, doc_id AS hit FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.hit = e.a)
-SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, min(hit) AS component_id FROM n JOIN r USING (doc_id) GROUP BY doc_id, n
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, min(hit) AS component_id, (SELECT count(*) FROM e WHERE e.a = doc_id) AS n_links FROM n JOIN r USING (doc_id) GROUP BY doc_id, n
 """

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from cases import documents, prose
 
-from dialoom.llm import fingerprint, ngram_join, wordhash
+from dialoom.llm import fingerprint, links, ngram_join, wordhash
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -24,16 +24,19 @@ def brute_components(rows, rule):
             x = parent[x]
         return x
 
+    links = [0] * len(rows)
     for i, a in enumerate(sets):
         for j, b in enumerate(sets[:i]):
             if a and b and rows[i][0] is not None and rows[j][0] is not None and rule.den * len(a & b) >= rule.num * len(a | b):
                 x, y = sorted((root(i), root(j)))
                 parent[y] = x
+                links[i] += 1
+                links[j] += 1
     least = {}
     for i, (d, _) in enumerate(rows):
         if d is not None:
             least[root(i)] = min(d, least.get(root(i), d))
-    return sorted(((d, len(s), least[root(i)] if d is not None else None) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
+    return sorted(((d, len(s), least[root(i)] if d is not None else None, links[i] if d is not None else None) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
 
 
 def chain(n, words, step):
@@ -45,12 +48,12 @@ def chain(n, words, step):
     return out
 
 
-@pytest.mark.parametrize("rule", [ngram_join.Rule(3, 90, 100), ngram_join.Rule(5, 80, 100), ngram_join.Rule(1, 50, 100, heavy=4)])
+@pytest.mark.parametrize("rule", [ngram_join.Rule(3, 90, 100), ngram_join.Rule(1, 50, 100, heavy=4)])
 def test_join_equals_brute_force(spark, rule):
     docs = documents(spark)
     more = [(1000 + i, t) for i, t in enumerate(chain(8, 120, 3))] + [(2000 + i, prose(i % 5, 40 + i)) for i in range(30)]
     docs = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
-    got = sorted((tuple(r) for r in ngram_join.join(spark, docs, rule).select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    got = sorted((tuple(r) for r in ngram_join.join(spark, docs, rule).select("doc_id", "n_shingles", "component_id", "n_links").collect()), key=str)
     assert got == brute_components([tuple(r) for r in docs.collect()], rule)
 
 
@@ -61,7 +64,7 @@ def test_join_of_long_lists_uses_blocks(spark, monkeypatch):
     rows = [(i, common + " " + prose(500 + i, 12 + i % 9)) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     rule = ngram_join.Rule(2, 85, 100)
-    got = sorted((tuple(r) for r in ngram_join.join(spark, docs, rule).select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    got = sorted((tuple(r) for r in ngram_join.join(spark, docs, rule).select("doc_id", "n_shingles", "component_id", "n_links").collect()), key=str)
     assert got == brute_components(rows, rule)
 
 
@@ -172,3 +175,26 @@ def test_fingerprints_of_groups_are_merged(spark):
         every = np.unique(np.concatenate([fingerprint.decode(r["fingerprint"]) for r in own if r["source"] == source]))
         assert got[source] == fingerprint.encode(every[:128])
     assert len(got) == len({r["source"] for r in own})
+
+
+def test_links_of_many_near_copies_equal_brute_force(spark, monkeypatch, members=7, elements=400):
+    """Random edits of one text: some pairs link by their slack, some by common edits, some only through others."""
+    import random
+
+    monkeypatch.setattr(links, "MEMBERS", members)
+    monkeypatch.setattr(links, "ELEMENTS", elements)
+    monkeypatch.setattr(links, "COLUMNS", 7)
+    r = random.Random(members)
+    rows = []
+    for base in range(2):
+        w = prose(base, 110).split()
+        for i in range(30):
+            x = list(w)
+            for _ in range(r.randint(0, 4)):
+                x[r.choice([5, 6, 40, 41, 42, r.randrange(110)])] = r.choice(["new", "newer", f"n{i}"])
+            rows += [(1000 * base + 10 * i + k, " ".join(x)) for k in range(r.choice([1, 1, 2]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rule = ngram_join.Rule(3, 90, 100)
+    got = sorted((tuple(x) for x in ngram_join.join(spark, docs, rule).select("doc_id", "n_shingles", "component_id", "n_links").collect()), key=str)
+    want = brute_components(rows, rule)
+    assert got == want and len({x[3] for x in want}) > 5
