@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +74,10 @@ def best_fit(items: np.ndarray, sizes: np.ndarray, bins: list[list[int]], free:
         mask |= 1 << f
 
 
+def flat(bins: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(bins), np.int64)
+
+
 def exchange(items: np.ndarray, sizes: np.ndarray, bins: list[list[int]], free: list[int]) -> np.ndarray:
     """Put items into bins in exchange for one smaller item each, where that fills a bin better, the largest gain
     first; returns what is outside afterwards."""
@@ -83,8 +88,9 @@ def exchange(items: np.ndarray, sizes: np.ndarray, bins: list[list[int]], free:
     for i in items.tolist():
         pool.setdefault(int(sizes[i]), []).append(i)
     kinds = np.array(sorted(pool))
-    member = np.concatenate([bins[b] for b in gaps])
-    of = np.repeat(gaps, [len(bins[b]) for b in gaps])
+    some = [bins[b] for b in gaps]
+    member = flat(some)
+    of = np.repeat(gaps, list(map(len, some)))
     reach = sizes[member] + np.array(free)[of]
     best = kinds[np.maximum(np.searchsorted(kinds, reach, "right") - 1, 0)]
     gain = np.where(best <= reach, best - sizes[member], 0)
@@ -104,28 +110,34 @@ def exchange(items: np.ndarray, sizes: np.ndarray, bins: list[list[int]], free:
 
 def fewest(sizes: np.ndarray, capacity: int) -> int:
     """A bound that no packing is below: the total, and items over half a bin with those that fit beside none of them."""
-    least = -(-int(sizes.sum()) // capacity)
-    for k in np.unique(sizes[2 * sizes <= capacity]).tolist():
-        huge = sizes > capacity - k
-        large = ~huge & (2 * sizes > capacity)
-        small = (sizes >= k) & (2 * sizes <= capacity)
-        room = int(large.sum()) * capacity - int(sizes[large].sum())
-        least = max(least, int(huge.sum() + large.sum()) + max(0, -(-(int(sizes[small].sum()) - room) // capacity)))
-    return max(least, int((2 * sizes > capacity).sum()))
+    s = np.sort(sizes)
+    sums = np.concatenate([[0], np.cumsum(s)])
+    half = int(np.searchsorted(s, capacity // 2, "right"))  # those up to half a bin come first
+    least = max(-(-int(sums[-1]) // capacity), len(s) - half)
+    if half:
+        k = np.unique(s[:half])
+        begin = np.searchsorted(s, k)  # the small ones are begin:half, the large ones half:huge
+        huge = np.maximum(np.searchsorted(s, capacity - k, "right"), half)
+        room = (huge - half) * capacity - (sums[huge] - sums[half])
+        over = sums[half] - sums[begin] - room
+        least = max(least, int((len(s) - half + np.maximum(0, -(-over // capacity))).max()))
+    return least
 
 
 def bins_of(genome: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[list[list[int]], list[int]]:
     """A packing from the bins' numbers by item."""
+    if not len(genome):
+        return [], []
     order = np.argsort(genome, kind="stable")
-    cuts = np.flatnonzero(np.diff(genome[order])) + 1
-    bins = [b.tolist() for b in np.split(order, cuts)] if len(genome) else []
-    return bins, [capacity - int(sizes[b].sum()) for b in bins]
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(genome[order])) + 1])
+    items = order.tolist()
+    bins = [items[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(items)], strict=True)]
+    return bins, (capacity - np.add.reduceat(sizes[order], starts)).tolist()
 
 
 def genome_of(p, n: int) -> np.ndarray:
     out = np.zeros(n, np.int32)
-    for b, items in enumerate(p[0]):
-        out[items] = b
+    out[flat(p[0])] = np.repeat(np.arange(len(p[0])), list(map(len, p[0])))
     return out
 
 
@@ -169,8 +181,7 @@ class Island:
 
     def _refit(self, bins: list[list[int]], free: list[int]):
         have = np.zeros(len(self.sizes), bool)
-        for b in bins:
-            have[b] = True
+        have[flat(bins)] = True
         out = np.flatnonzero(~have)
         for _ in range(2):
             out = exchange(out, self.sizes, bins, free)
@@ -183,9 +194,9 @@ class Island:
         n = int(self.rng.integers(1, max(2, len(order) // 2)))
         gift = [p[0][i] for i in order[:n].tolist()]
         taken = np.zeros(len(self.sizes), bool)
-        for b in gift:
-            taken[b] = True
-        kept = [(b, f) for b, f in zip(*q, strict=True) if not taken[b].any()]
+        taken[flat(gift)] = True
+        twice = np.bincount(np.repeat(np.arange(len(q[0])), list(map(len, q[0]))), taken[flat(q[0])], len(q[0])) > 0
+        kept = [(b, f) for b, f, t in zip(*q, twice.tolist(), strict=True) if not t]
         return self._refit([*map(list, gift), *(list(b) for b, _ in kept)], [*(p[1][i] for i in order[:n].tolist()), *(f for _, f in kept)])
 
     def mutate(self, p):
