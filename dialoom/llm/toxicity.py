@@ -209,15 +209,22 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, plan: Plan = P
 
 
 def best_cut(gp: np.ndarray, gu: np.ndarray, prior: float) -> float:
-    """The cut between logits at which the estimated share of wrong verdicts is least, the highest of equals:
-    prior * missed + max(0, called - prior * caught), with the shares of positives missed and caught and of
-    unlabelled texts called toxic."""
+    """Where the estimated share of wrong verdicts is least, with the shares of positives missed and caught and of
+    unlabelled texts called toxic:  prior * missed + max(0, called - prior * caught).
+
+    Cuts within one standard error of the least can't be told apart; the middle of the logits they span is taken."""
     values = np.unique(np.concatenate([gp, gu]).astype(float))
     cuts = np.concatenate([[values[0] - 1], (values[1:] + values[:-1]) / 2, [values[-1] + 1]])
+    wrong = wrong_shares(gp, gu, prior, cuts)
+    some = np.flatnonzero(wrong <= wrong.min() + np.sqrt(prior * (1 - prior) / len(gu)))
+    low, high = values[max(some[0] - 1, 0)], values[min(some[-1], len(values) - 1)]
+    return float(low + high) / 2
+
+
+def wrong_shares(gp: np.ndarray, gu: np.ndarray, prior: float, cuts: np.ndarray) -> np.ndarray:
     caught = 1 - np.searchsorted(np.sort(gp), cuts) / len(gp)
     called = 1 - np.searchsorted(np.sort(gu), cuts) / len(gu)
-    wrong = prior * (1 - caught) + np.maximum(0, called - prior * caught)
-    return float(cuts[np.flatnonzero(wrong <= wrong.min() + 1e-12)[-1]])
+    return prior * (1 - caught) + np.maximum(0, called - prior * caught)
 
 
 def _matrix(model: Model, texts: list[str], plan: Plan) -> np.ndarray:

@@ -469,13 +469,16 @@ def test_risk_and_slopes_equal_their_definitions():
             assert abs((whole(gp, gu + e) - whole(gp, gu - e)) / 2e-6 - su[k]) < 1e-6
 
 
-def test_the_cut_has_the_least_estimated_error():
+def test_the_cut_is_among_those_of_least_estimated_error():
     r = np.random.default_rng(5)
     for _ in range(20):
         gp, gu, prior = r.normal(1, 1, 30).round(1), r.normal(0, 1.5, 50).round(1), 0.3
         wrong = lambda c: prior * (gp < c).mean() + max(0, (gu >= c).mean() - prior * (gp >= c).mean())
-        best = min(wrong(c) for c in np.arange(-8, 8, 0.05))
-        assert abs(wrong(toxicity.best_cut(gp, gu, prior)) - best) < 1e-9
+        cuts = np.arange(-8, 8, 0.05)
+        assert np.allclose(toxicity.wrong_shares(gp, gu, prior, cuts), [wrong(c) for c in cuts])
+        best = min(map(wrong, cuts))
+        assert wrong(toxicity.best_cut(gp, gu, prior)) <= best + 3 * math.sqrt(prior * (1 - prior) / 50)
+    assert abs(toxicity.best_cut(np.full(20, 4.0), np.concatenate([np.full(90, -2.0), np.full(10, 4.0)]), 0.1) - 1) < 1e-9
 
 
 def test_toxic_features_equal_a_plain_count():
