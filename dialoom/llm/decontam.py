@@ -256,7 +256,11 @@ def _keep(items: list[tuple[int, str]], plan: Plan):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """The rows of ``docs``, all columns kept, that hold no item, be it with or without an id."""
+    """The rows of ``docs``, all columns kept, that hold no item, be it with or without an id.
+
+    Null and empty texts hold none and stay; repeated rows are judged alike, and a null doc_id doesn't matter. Items with
+    null or blank text are in no document; without items all rows stay.
+    """
     for items in blocks(benchmark, plan, ids=False):
         docs = docs.mapInArrow(_keep(items, plan), docs.schema)
     return docs

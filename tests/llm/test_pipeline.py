@@ -1,3 +1,6 @@
+import re
+import string
+
 import duckdb
 import pytest
 from cases import documents, prose
@@ -59,6 +62,59 @@ def test_run_packs_what_the_stages_keep(spark, folder):
     assert set(range(60)) <= got and 402 in got and not got & {100, 200, 201, 300, 400, 401}
 
 
+def _shingles(text, size=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c in string.ascii_uppercase else c for c in text or ""))
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def test_near_duplicate_stage_equals_plain_python(spark, folder):
+    docs = documents(spark)
+    rows = [(r["doc_id"], _shingles(r["text"])) for r in docs.collect() if r["doc_id"] is not None]
+    group = {d: d for d, _ in rows}
+    while True:
+        before = dict(group)
+        for a, x in rows:
+            for b, y in rows:
+                if x and y and 100 * len(x & y) >= 80 * len(x | y):
+                    group[a] = min(group[a], group[b])
+        if group == before:
+            break
+    got = [r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, docs, folder).collect()]
+    want = [d for d, least in group.items() if d == least]
+    assert sorted(d for d in got if d is not None) == sorted(want) and got.count(None) == 1
+
+
+def test_decontamination_stage_equals_plain_python(spark, folder):
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").first()["text"]
+    cut = item[:60] + "#" + item[61:]  # one edit
+    texts = {1: item, 2: "before " + item.upper() + " after", 3: cut, 4: item[: len(item) // 2], 5: None, 6: "", 7: prose(78, 3000), 8: prose(78, 3000) + " " + item}
+    docs = documents(spark, [(i, t, "en", "a") for i, t in texts.items()] + [(1, item, "en", "a"), (None, item, "en", "a"), (None, "free", "en", "a")])
+    got = corpus_pipeline.decontamination_stage(spark, docs, folder)
+    held = {i for i, t in texts.items() if item in (t or "").lower().replace("#", item[60])}
+    assert held == {1, 2, 3, 8}
+    assert sorted((r["doc_id"] for r in got.collect()), key=str) == sorted([*(set(texts) - held), None], key=str)
+
+
+def test_stages_stand_empty_tables(spark, folder, tmp_path):
+    sf = str(tmp_path)
+    for name in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{sf}/{name}.parquet")
+    assert corpus_pipeline.run(spark, sf).count() == 0
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert corpus_pipeline.toxicity_stage(spark, docs, sf).where("doc_id < 60").count() == 60
+    assert corpus_pipeline.decontamination_stage(spark, docs, sf).count() == docs.count()
+
+
+def test_stages_judge_repeated_rows_alike(spark, folder, tmp_path):
+    sf = str(tmp_path)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs.union(docs).write.parquet(f"{sf}/documents.parquet")
+    for name in ("benchmark", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{sf}/{name}.parquet")
+    got = [r["doc_id"] for r in corpus_pipeline.run(spark, sf).where("piece = 0").collect()]
+    assert len(got) == len(set(got)) and set(range(60)) <= set(got) and not set(got) & {100, 200, 201, 300, 400, 401}
+
+
 def test_queries_cover_all_operators():
     assert sorted({int(n[2:].split("_")[0]) for n in queries.QUERIES}) == list(range(1, 11))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
