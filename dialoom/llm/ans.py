@@ -81,15 +81,17 @@ def encode(ids: np.ndarray, table: Table) -> bytes:
     words: list[np.ndarray] = []
     marks: list[tuple[int, int, np.ndarray]] = []
     given = 0
-    up = np.uint64(63 - BITS)
+    freq, first = table.freq[ids], table.first[ids]
+    limit, more = freq << np.uint64(63 - BITS), np.uint64(1 << BITS) - freq
     for step in range(steps - 1, -1, -1):
-        part = ids[step * LANES : (step + 1) * LANES]
-        f, c = table.freq[part], table.first[part]
-        y = x[: len(part)]
-        full = y >= (f << up)
-        out = (y[full] & np.uint64(0xFFFFFFFF)).astype("<u4")
-        y = np.where(full, y >> np.uint64(32), y)
-        x[: len(part)] = ((y // f) << np.uint64(BITS)) + (y % f) + c
+        a, b = step * LANES, min(n, (step + 1) * LANES)
+        y = x[: b - a]
+        full = np.flatnonzero(y >= limit[a:b])
+        out = y[full]
+        y[full] = out >> np.uint64(32)
+        out = out.astype("<u4")  # the lower half
+        # ((y // f) << BITS) + y % f + first
+        y += (y // freq[a:b]) * more[a:b] + first[a:b]
         words.append(out)
         given += len(out)
         if step % SPAN == 0:
@@ -139,10 +141,11 @@ def decode(block: bytes, table: Table, span: int | None = None) -> np.ndarray:
         s = table.symbol[place]
         y = table.freq[s] * (y >> shift) + place - table.first[s]
         less = y < _LOW
-        took = less.sum(axis=1)
-        if took.any():
-            row, lane = np.nonzero(less)
-            y[row, lane] = (y[row, lane] << np.uint64(32)) | words[at[row] + np.arange(len(row)) - np.repeat(np.cumsum(took) - took, took)]
+        took = np.count_nonzero(less, axis=1)
+        few = np.flatnonzero(less)
+        if len(few):
+            flat = y.reshape(-1)
+            flat[few] = (flat[few] << np.uint64(32)) | words[np.repeat(at - np.cumsum(took) + took, took) + np.arange(len(few))]
             at += took
         return s, y
 

@@ -3,7 +3,7 @@
 The pre-tokenizers used here never join characters over the start of a run of white space, nor an ASCII
 letter or digit with ASCII punctuation after it (the apostrophe aside). A text is cut at these places, and its
 ids are those of its pieces. Each distinct piece is encoded once by the library and kept with its bytes; it is found by a
-64-bit hash and then compared byte by byte, and pieces whose hash another has are kept beside. The store starts anew when it is full. A text with other
+64-bit hash, in a table with open addressing, and then compared byte by byte, and pieces whose hash another has are kept beside. The store starts anew when it is full. A text with other
 white space than ASCII's is one piece, as a run could be cut within, and so is one that holds the string of an
 added token ('<|endoftext|>'), which the library gives that token's id.
 """
@@ -17,15 +17,13 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from dialoom.llm.wordhash import SPACE, at_eight, buffer, eights, span_hashes
+from dialoom.llm.wordhash import SPACE, at_eight, buffer, eights, span_hashes, windows
 
-#: Pieces, ids and bytes of pieces kept by a process: about 28 bytes for a piece, 4 for an id.
+#: Pieces, ids and bytes of pieces kept by a process: about 24 bytes for a piece and 8 to 16 of the table, 4 for an id.
 MOST_PIECES, MOST_IDS, MOST_BYTES = 1_200_000, 8_000_000, 24_000_000
 
-_ALNUM = np.zeros(256, bool)
-_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
-_MARK = np.zeros(256, bool)
-_MARK[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = True
+#: Bytes' kinds: 1 white space, 2 ASCII punctuation but the apostrophe, 4 an ASCII letter or digit.
+_KINDS = bytes(1 if SPACE[c] else 4 if c < 128 and chr(c).isalnum() else 2 if 33 <= c < 127 and c != 39 else 0 for c in range(256))
 
 
 def _wide_space(data: np.ndarray) -> np.ndarray:
@@ -69,16 +67,15 @@ class Encoder:
         cls._open.clear()
 
     def clear(self) -> None:
-        self.known = np.zeros(0, np.uint64)  # hashes, ascending
-        self.slot = np.zeros(0, np.int32)  # and the piece's place in begin and size
+        self.table = np.full(1 << 15, -1, np.int32)  # places of pieces by hash, -1 where there is none
+        self.hash = np.zeros(1 << 14, np.uint64)
         self.begin = np.zeros(1 << 14, np.int32)
         self.size = np.zeros(1 << 14, np.int32)
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.count = 0  # pieces in all
         self.text = np.zeros(1 << 16, np.uint8)  # their bytes, and where each piece's begin and end
         self.text_at = np.zeros(1 << 14, np.int32)
         self.text_to = np.zeros(1 << 14, np.int32)
+        self.size[0] = self.used = self.count = 1  # the first place has the end id
         self.odd: dict[bytes, int] = {}  # places of pieces whose hash another piece has
 
     def _add(self, pieces: list[bytes]) -> int:
@@ -93,10 +90,10 @@ class Encoder:
                 self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat) // 2, total), np.uint32)])
             if n + len(ids) > len(self.begin):
                 more = max(len(self.begin) // 2, len(ids))
-                self.begin, self.size, self.text_at, self.text_to = (np.concatenate([x, np.zeros(more, x.dtype)]) for x in (self.begin, self.size, self.text_at, self.text_to))
+                self.hash, self.begin, self.size, self.text_at, self.text_to = (np.concatenate([x, np.zeros(more, x.dtype)]) for x in (self.hash, self.begin, self.size, self.text_at, self.text_to))
             raw = np.frombuffer(b"".join(some), np.uint8)
             chars = np.fromiter(map(len, some), np.int64, len(some))
-            held = int(self.text_to[n - 1]) if n else 0
+            held = int(self.text_to[n - 1])
             if held + len(raw) + 8 > len(self.text):
                 self.text = np.concatenate([self.text, np.zeros(max(len(self.text) // 2, len(raw) + 8), np.uint8)])
             self.text[held : held + len(raw)] = raw
@@ -109,15 +106,41 @@ class Encoder:
             self.count += len(ids)
         return first
 
-    def _other(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    def _enter(self, slot: np.ndarray) -> None:
+        """Put pieces, whose hashes are new and differ, into the table."""
+        if 2 * self.count > len(self.table):
+            kept = self.table[self.table >= 0]
+            self.table = np.full(1 << int(4 * self.count - 1).bit_length(), -1, np.int32)
+            slot = np.concatenate([kept, slot])
+        last = np.uint64(len(self.table) - 1)
+        at = (self.hash[slot] & last).astype(np.int64)
+        while len(slot):
+            free = self.table[at] < 0
+            self.table[at[free]] = slot[free]
+            out = self.table[at] != slot  # taken before, or now by another one
+            slot, at = slot[out], (at[out] + 1) & int(last)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the pieces with these hashes, -1 where there is none."""
+        last = len(self.table) - 1
+        at = (hashes & np.uint64(last)).astype(np.int64)
+        slot = self.table[at]
+        todo = np.flatnonzero((slot >= 0) & (self.hash[slot] != hashes))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & last
+            found = slot[todo] = self.table[at[todo]]
+            todo = todo[(found >= 0) & (self.hash[found] != hashes[todo])]
+        return slot
+
+    def _other(self, own: np.ndarray, start: np.ndarray, size: np.ndarray, slot: np.ndarray) -> np.ndarray:
         """Which pieces aren't, byte by byte, those in their places of the store."""
-        size = stop - start
-        bad = size != self.text_to[slot] - self.text_at[slot]
-        own, held = eights(data), np.lib.stride_tricks.sliding_window_view(self.text, 8)
-        todo, at = np.flatnonzero(~bad), 0
+        begin, held = self.text_at[slot], windows(self.text)
+        bad = size != self.text_to[slot] - begin
+        bad |= at_eight(own, start, size) != at_eight(held, begin, size)
+        todo, at = np.flatnonzero(~bad & (size > 8)), 8
         while len(todo):
             left = size[todo] - at
-            wrong = at_eight(own, start[todo] + at, left) != at_eight(held, self.text_at[slot[todo]] + at, left)
+            wrong = at_eight(own, start[todo] + at, left) != at_eight(held, begin[todo] + at, left)
             bad[todo[wrong]] = True
             at += 8
             todo = todo[~wrong & (left > 8)]
@@ -125,49 +148,42 @@ class Encoder:
 
     def encode(self, texts: pa.Array | list, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by ``end``, and the texts' offsets in them. Null is empty."""
-        if self.count > MOST_PIECES or self.used > MOST_IDS or (self.count and self.text_to[self.count - 1] > MOST_BYTES):
+        if self.count > MOST_PIECES or self.used > MOST_IDS or self.text_to[self.count - 1] > MOST_BYTES:
             self.clear()
+        self.flat[0] = end
         data, off = buffer(texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string()))
         n = len(data)
-        space = SPACE[data]
-        cut = space.copy()
-        cut[1:] &= ~space[:-1]
-        cut[1:] |= _MARK[data[1:]] & _ALNUM[data[:-1]]
+        raw = data.tobytes()
+        kind = np.frombuffer(raw.translate(_KINDS), np.uint8)
+        cut = np.zeros(n, bool)
+        cut[1:] = (kind[1:] & ~kind[:-1] & 1) | ((kind[1:] << 1) & kind[:-1] & 4)
         whole = _wide_space(data)
         if self.added:
-            whole = np.concatenate([whole, np.array([m.start() for m in self.added.finditer(data)], np.int64)])
+            whole = np.concatenate([whole, np.array([m.start() for m in self.added.finditer(raw)], np.int64)])
         for d in np.unique(np.searchsorted(off, whole, "right") - 1):
             cut[off[d] : off[d + 1]] = False
         cut[off[off < n]] = True
         start = np.flatnonzero(cut)
         stop = np.append(start[1:], n) if len(start) else start
         hashes = span_hashes(data, start, stop)
-        kinds, one, of = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.known, kinds), max(0, len(self.known) - 1))
-        new = self.known[at] != kinds if len(self.known) else np.ones(len(kinds), bool)
-        if new.any():
-            raw = data.tobytes()
-            which = one[new]
+        slot = self._find(hashes)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            kinds, one, of = np.unique(hashes[new], return_index=True, return_inverse=True)
+            which = new[one]
             first = self._add([raw[a:b] for a, b in zip(start[which].tolist(), stop[which].tolist(), strict=True)])
-            into = np.searchsorted(self.known, kinds[new])
-            self.known = np.insert(self.known, into, kinds[new])
-            self.slot = np.insert(self.slot, into, np.arange(first, first + len(which), dtype=np.int32))
-            at = np.searchsorted(self.known, kinds)
-        slot = self.slot[at][of] if len(kinds) else np.zeros(0, np.int32)
+            self.hash[first : first + len(which)] = kinds
+            self._enter(np.arange(first, first + len(which), dtype=np.int32))
+            slot[new] = first + of
         if len(slot):
-            for i in self._other(data, start, stop, slot).tolist():
-                piece = data[start[i] : stop[i]].tobytes()
+            for i in self._other(eights(data), start, stop - start, slot).tolist():
+                piece = raw[start[i] : stop[i]]
                 if piece not in self.odd:
                     self.odd[piece] = self._add([piece])
                 slot[i] = self.odd[piece]
-        size = self.size[slot].astype(np.int64)
-        ends = np.concatenate([[0], np.cumsum(size)])
         bound = np.searchsorted(start, off)
-        length = ends[bound[1:]] - ends[bound[:-1]] + 1
-        result = np.concatenate([[0], np.cumsum(length)])
-        out = np.empty(result[-1], np.uint32)
-        body = np.ones(result[-1], bool)
-        body[result[1:] - 1] = False
-        out[result[1:] - 1] = end
-        out[body] = self.flat[np.repeat(self.begin[slot] - ends[:-1], size) + np.arange(ends[-1])]
-        return out, result
+        slot = np.insert(slot, bound[1:], 0)  # each text's end
+        size = self.size[slot]
+        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        out = self.flat[np.repeat(self.begin[slot] - ends[:-1], size) + np.arange(ends[-1])]
+        return out, ends[bound + np.arange(len(bound))]

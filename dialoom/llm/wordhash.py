@@ -56,13 +56,18 @@ _KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def eights(data: np.ndarray) -> np.ndarray:
-    """The eight bytes that begin at each place, as rows; zeros follow the last."""
-    return np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+    """The eight bytes that begin at each place, as a number; zeros follow the last."""
+    return windows(np.concatenate([data, np.zeros(8, np.uint8)]))
 
 
-def at_eight(rows: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+def windows(data: np.ndarray) -> np.ndarray:
+    """A view of contiguous bytes: the eight that begin at each place with as many left, as a number."""
+    return np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+
+
+def at_eight(numbers: np.ndarray, at: np.ndarray, left: np.ndarray) -> np.ndarray:
     """The bytes at each place as a number, without those beyond the ``left`` ones."""
-    return rows[at].view("<u8").ravel() & _KEEP[np.minimum(left, 8)]
+    return numbers[at] & _KEEP[np.minimum(left, 8)]
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -83,6 +83,29 @@ def test_a_full_store_starts_anew(monkeypatch):
         assert ids.tolist() == [*e.tokenizer.encode(prose(i, 40)).ids, 2]
 
 
+def test_pieces_of_the_store_are_found_without_sorting(monkeypatch):
+    texts = [prose(i, 400) for i in range(20)]
+    e = tokens.Encoder(BYTE)
+    first, _ = e.encode(texts, 2)
+    sorted_, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda x, **more: sorted_.append(len(x)) or unique(x, **more))
+    again, _ = e.encode(texts, 2)
+    assert (again == first).all() and sum(sorted_) == 0
+
+
+@pytest.mark.parametrize("shift", [0, 40, 63])
+def test_pieces_that_share_places_of_the_table_are_found(monkeypatch, shift):
+    """With hashes that differ in their upper bits only, and a table that grows."""
+    hashes = tokens.span_hashes
+    monkeypatch.setattr(tokens, "span_hashes", lambda *of: (hashes(*of) >> np.uint64(shift)) << np.uint64(shift))
+    e, fresh = tokens.Encoder(BYTE), library(BYTE)
+    e.table = np.full(2, -1, np.int32)
+    for k in range(6):
+        texts = [" ".join(f"w{k}{i}q{j}" for j in range(20)) for i in range(5)] + ODD
+        ids, off = e.encode(texts, 2)
+        assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [[*fresh.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+
+
 @pytest.mark.parametrize("n", [0, 1, ans.LANES - 1, ans.LANES, ans.LANES + 1, 70_000])
 def test_blocks_round_trip(n):
     ids = np.minimum(np.random.default_rng(n).zipf(1.3, n), 40_000).astype(np.uint32)
