@@ -83,9 +83,10 @@ def test_a_full_store_starts_anew(monkeypatch):
         assert ids.tolist() == [*e.tokenizer.encode(prose(i, 40)).ids, 2]
 
 
-def test_pieces_of_the_store_are_found_without_sorting(monkeypatch):
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_pieces_of_the_store_are_found_without_sorting(path, monkeypatch):
     texts = [prose(i, 400) for i in range(20)]
-    e = tokens.Encoder(BYTE)
+    e = tokens.Encoder(path)
     first, _ = e.encode(texts, 2)
     sorted_, unique = [], np.unique
     monkeypatch.setattr(np, "unique", lambda x, **more: sorted_.append(len(x)) or unique(x, **more))
