@@ -501,6 +501,12 @@ def test_the_cut_is_among_those_of_least_estimated_error():
     assert abs(toxicity.best_cut(np.full(20, 4.0), np.concatenate([np.full(90, -2.0), np.full(10, 4.0)]), 0.1) - 1) < 1e-9
 
 
+def test_the_threshold_stands_where_the_estimate_is_least():
+    """Only cuts between 0.5 and 2.6 catch all positives and no clean text; those above miss a few."""
+    caught = np.linspace(4.3, 8.6, 44)
+    assert abs(toxicity.best_cut(np.append(caught, 2.6), np.concatenate([np.full(212, 0.5), caught]), 0.35) - 1.55) < 1e-9
+
+
 def test_toxic_features_equal_a_plain_count():
     texts = ["Vile wort vile", "", "a vile", prose(3, 40)]
     for k, rows, codes in toxicity._present(pa.array(texts), (4,)):
