@@ -290,6 +290,7 @@ def _epoch(plan: Plan, number: int, e: int):
     """An epoch of each row's island."""
 
     def run(batches):
+        Encoder.forget()  # a worker may have one from the stage before, and keeps it for all that follows
         for batch in batches:
             for row in batch.to_pylist():
                 sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)

@@ -17,9 +17,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from dialoom.llm.wordhash import SPACE, at_eight, buffer, eights, span_hashes, windows
+from dialoom.llm.wordhash import SPACE, at_eight, buffer, eights, span_hashes, trim, windows
 
-#: Pieces, ids and bytes of pieces kept by a process: about 24 bytes for a piece and 8 to 16 of the table, 4 for an id.
+#: Pieces, ids and bytes of pieces kept by a process: about 24 bytes for a piece and 6 to 16 of the table, 4 for an id.
 MOST_PIECES, MOST_IDS, MOST_BYTES = 1_200_000, 8_000_000, 24_000_000
 
 #: Bytes' kinds: 1 white space, 2 ASCII punctuation but the apostrophe, 4 an ASCII letter or digit.
@@ -64,7 +64,9 @@ class Encoder:
     @classmethod
     def forget(cls) -> None:
         """Give up those of this process."""
-        cls._open.clear()
+        if cls._open:
+            cls._open.clear()
+            trim()
 
     def clear(self) -> None:
         self.table = np.full(1 << 15, -1, np.int32)  # places of pieces by hash, -1 where there is none
@@ -108,9 +110,9 @@ class Encoder:
 
     def _enter(self, slot: np.ndarray) -> None:
         """Put pieces, whose hashes are new and differ, into the table."""
-        if 2 * self.count > len(self.table):
+        if 4 * self.count > 3 * len(self.table):
             kept = self.table[self.table >= 0]
-            self.table = np.full(1 << int(4 * self.count - 1).bit_length(), -1, np.int32)
+            self.table = np.full(1 << (2 * self.count - 1).bit_length(), -1, np.int32)
             slot = np.concatenate([kept, slot])
         last = np.uint64(len(self.table) - 1)
         at = (self.hash[slot] & last).astype(np.int64)

@@ -201,6 +201,11 @@ def plain_best_fit(sizes):
     return len(bins)
 
 
+def test_islands_begin_without_a_tokenizer_store():
+    tokens.Encoder.of(BYTE).encode(["a b"], 2)
+    assert not list(packing._epoch(packing.Plan(BYTE), 0, 0)(iter([]))) and not tokens.Encoder._open
+
+
 def test_genetic_packing_is_valid_and_no_worse_than_best_fit():
     plan = packing.Plan("")
     sizes = np.random.default_rng(3).integers(200, 700, 300)
