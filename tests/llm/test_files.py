@@ -75,6 +75,26 @@ def test_added_tokens_in_a_text_get_their_ids(path):
     assert fresh.token_to_id("<|endoftext|>") in ids
 
 
+def test_new_pieces_are_encoded_joined(monkeypatch):
+    """Where ids keep all bytes, far fewer texts than pieces go to the library, and each piece keeps its own ids."""
+    texts = [prose(i, 400) for i in range(6)] + ["a\u00a0", " b  \n", "it's 're", "x<|endoftext|", "> y", "<|endoftext|>", " ", "\n\n", "caf\u00e9, \u4e2d\u6587", None]
+    for path in (WORD, BYTE):
+        e, fresh, given = tokens.Encoder(path), library(path), []
+        inner = e._ids
+        monkeypatch.setattr(e, "_ids", lambda some: given.append(len(some)) or inner(some))
+        ids, off = e.encode(texts, 2)
+        assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [[*fresh.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+        assert (sum(given) < e.count / 5) == (path == BYTE)
+        e.clear()
+        pieces = [b" a", b"b", b" c ", b" <|endoftext", b"|>", b" d\xc2\xa0", b" e", b" <|endoftext|>", b" f", b" g's"]
+        got, sizes = e._joined_ids(pieces)
+        want = [fresh.encode(p.decode(), add_special_tokens=False).ids for p in pieces]
+        assert got.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+    e.bytes_of = e.bytes_of + 1  # ends that aren't found: each for itself
+    got, sizes = e._joined_ids(pieces)
+    assert got.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+
+
 def test_a_full_store_starts_anew(monkeypatch):
     monkeypatch.setattr(tokens, "MOST_PIECES", 5)
     e = tokens.Encoder(BYTE)
