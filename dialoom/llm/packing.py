@@ -332,7 +332,8 @@ def _packed(scratch: Scratch, rest: DataFrame, plan: Plan, number: int, blocks:
     n = partitions(scratch.spark)
     dealt = rest.withColumn("block", F.pmod(F.xxhash64("key", F.lit(number)), F.lit(blocks)).cast("long"))
     dealt = dealt.repartition(max(1, min(blocks, 4 * n)), "block").sortWithinPartitions("block", "key")
-    table = scratch.save(dealt.mapInArrow(_gather, "block long, keys binary, sizes binary"), f"blocks{number}")
+    # a task's rows are few and small: gathered, or each task would write a file, for which the executor starts processes
+    table = scratch.save(dealt.mapInArrow(_gather, "block long, keys binary, sizes binary").hint("rebalance"), f"blocks{number}")
     sizes = table.select("block", "sizes")
     null = F.lit(None).cast("binary")
     state, names = None, []
@@ -346,7 +347,7 @@ def _packed(scratch: Scratch, rest: DataFrame, plan: Plan, number: int, blocks:
             rows = own.join(guests, ["block", "island"]).join(sizes, "block")
         rows = rows.repartition(max(1, min(blocks * plan.islands, 4 * n)), "block", "island")
         name = f"islands{number}-{e}"
-        grown = scratch.save(rows.select("block", "island", "sizes", "first", "second", "guest").mapInArrow(_epoch(plan, number, e), _STATE_SQL), name)
+        grown = scratch.save(rows.select("block", "island", "sizes", "first", "second", "guest").mapInArrow(_epoch(plan, number, e), _STATE_SQL).hint("rebalance"), name)
         if grown.isEmpty():
             scratch.drop(name)
             break

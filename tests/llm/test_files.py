@@ -215,6 +215,21 @@ def test_packing_is_whole_and_gapless(spark):
     assert packing.packing(spark, docs.limit(0), plan).count() == 0
 
 
+def test_islands_of_many_blocks_are_written_as_few_files(spark, monkeypatch):
+    files, save = {}, packing.Scratch.save
+
+    def saved(self, df, name):
+        out = save(self, df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(packing.Scratch, "save", saved)
+    docs = spark.createDataFrame([(i, prose(i, 400 + 37 * i % 90)) for i in range(60)], "doc_id long, text string")
+    rows = packing.packing(spark, docs, packing.Plan(BYTE, block=6, generations=1)).collect()
+    assert {r["doc_id"] for r in rows} == set(range(60)) and files["blocks0"] <= 2
+    assert all(n <= 2 for name, n in files.items() if name.startswith("islands"))
+
+
 def plain_best_fit(sizes):
     bins = []
     packing.best_fit(np.arange(len(sizes)), sizes, bins, [], 1024)
